@@ -1,0 +1,177 @@
+"""Synthetic observations, generated on the executors.
+
+Every random draw is a hash of (seed, station, row, draw), so the result depends
+neither on the number of partitions nor on retries, and no row passes through
+the driver.
+"""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from gaugeline.functions.rounding import round_to
+from gaugeline.functions.units import mps_to_kmh
+from gaugeline.schemas import METRIC_RAW
+
+# Id, name, latitude, longitude, elevation in m, base and seasonal °C.
+STATION_COLUMNS = (
+    "station_id string, station_name string, lat double, lon double, "
+    "elevation_m double, base_temp double, temp_range double"
+)
+STATIONS = [
+    ("KJFK", "JFK International", 40.64, -73.78, 4.0, 12.0, 15.0),
+    ("KLAX", "Los Angeles Intl", 33.94, -118.41, 38.0, 18.0, 8.0),
+    ("KORD", "Chicago O'Hare", 41.97, -87.91, 205.0, 10.0, 18.0),
+    ("KDEN", "Denver International", 39.86, -104.67, 1655.0, 10.5, 16.0),
+    ("KMIA", "Miami International", 25.79, -80.29, 2.4, 25.0, 6.0),
+    ("KSEA", "Seattle-Tacoma", 47.45, -122.31, 137.0, 11.0, 9.0),
+    ("KATL", "Atlanta Hartsfield", 33.63, -84.44, 315.0, 17.0, 12.0),
+    ("KDFW", "Dallas-Fort Worth", 32.90, -97.04, 171.0, 19.0, 14.0),
+    ("KPHX", "Phoenix Sky Harbor", 33.44, -112.01, 337.0, 24.0, 16.0),
+    ("KBOS", "Boston Logan", 42.36, -71.01, 6.0, 11.0, 15.0),
+]
+FIRST_SECOND = 1_672_531_200  # 2023-01-01 00:00:00 UTC
+
+# Rows one task generates at a time.
+BLOCK_ROWS = 200_000
+MAX_TASKS = 20_000
+
+_WIND_SPREAD = 2.0
+
+
+def default_stations(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(STATIONS, STATION_COLUMNS)
+
+
+def _uniform(seed: int, draw: int, *ids: str) -> Column:
+    """A double strictly between 0 and 1."""
+    mixed = F.pmod(F.xxhash64(F.lit(seed), F.lit(draw), *ids), F.lit(1 << 53))
+    return (mixed + 0.5) / float(1 << 53)
+
+
+def _normal(u: Column, v: Column, wave=F.cos) -> Column:
+    return F.sqrt(F.log(u) * -2.0) * wave(v * (2.0 * math.pi))
+
+
+def _clip(value: Column, low: float, high: float) -> Column:
+    return F.least(F.greatest(value, F.lit(low)), F.lit(high))
+
+
+def _wind_swing(share: Column) -> Column:
+    """Degrees off the prevailing wind: the von Mises quantile of ``share``."""
+    angle = np.linspace(-np.pi, np.pi, 8193)
+    density = np.exp(_WIND_SPREAD * np.cos(angle))
+    below = np.concatenate([[0.0], np.cumsum((density[1:] + density[:-1]) / 2)])
+    below, degrees = below / below[-1], np.degrees(angle)
+
+    # Defined here so that it is shipped by value and workers need no package.
+    @F.pandas_udf(T.DoubleType())
+    def quantile(share: pd.Series) -> pd.Series:
+        return pd.Series(np.interp(share, below, degrees))
+
+    return quantile(share)
+
+
+def _station_rows(stations: DataFrame, rows: int, seed: int) -> tuple[DataFrame, int]:
+    """Stations with their number of rows, and the number of hourly slots.
+
+    Shares follow a symmetric Dirichlet distribution with parameter 5, that is
+    gamma draws over their sum; rounding leftovers go to the last station.
+    """
+    gamma = sum(-F.log(_uniform(seed, 100 + i, "station_id")) for i in range(5))
+    weighted = stations.withColumn("_weight", gamma)
+    total, count, last = weighted.agg(
+        F.sum("_weight"), F.count(F.lit(1)), F.max("station_id")
+    ).first()
+    share = weighted.withColumn("_rows", F.floor(F.col("_weight") / total * rows))
+    given, largest = share.agg(F.sum("_rows"), F.max("_rows")).first()
+    left = F.when(F.col("station_id") == last, rows - given).otherwise(0)
+    # Twice the mean, or more where one station needs more: no slot is used twice.
+    slots = max(2 * (rows // count), largest + rows - given)
+    return share.withColumn("_rows", F.col("_rows") + left).drop("_weight"), slots
+
+
+def generate_observations(
+    spark: SparkSession, rows: int, seed: int = 42, stations: DataFrame | None = None
+) -> DataFrame:
+    """``rows`` observations in the 22-column metric layout, coordinates as plain text.
+
+    A station's rows are sorted by time and use distinct hours: its slots are cut
+    into as many strata as it has rows and one hour is drawn from each.
+    """
+    stations = stations if stations is not None else default_stations(spark)
+    planned, slots = _station_rows(stations, rows, seed)
+    blocks = planned.filter(F.col("_rows") > 0).withColumn(
+        "_block", F.explode(F.sequence(F.lit(0), F.floor((F.col("_rows") - 1) / BLOCK_ROWS)))
+    )
+    first = F.col("_block") * BLOCK_ROWS
+    last = F.least(first + BLOCK_ROWS, F.col("_rows")) - 1
+    tasks = min(MAX_TASKS, max(spark.sparkContext.defaultParallelism, rows // BLOCK_ROWS))
+    numbered = blocks.repartition(tasks).withColumn(
+        "_row", F.explode(F.sequence(first, last))
+    )
+
+    def draw(index: int) -> Column:
+        return _uniform(seed, index, "station_id", "_row")
+
+    width = F.lit(float(slots)) / F.col("_rows")
+    low, high = F.floor(F.col("_row") * width), F.floor((F.col("_row") + 1) * width)
+    timed = numbered.withColumn("_hour", low + F.floor(draw(0) * (high - low)))
+
+    hour, day = F.col("_hour") % 24, F.floor(F.col("_hour") / 24) % 365
+    seasonal = F.col("temp_range") * F.sin((day - 80) * (2 * math.pi / 365))
+    diurnal = F.sin((hour - 6) * (2 * math.pi / 24)) * 3.0
+    measured = timed.withColumn(
+        "_temp", F.col("base_temp") + seasonal + diurnal + _normal(draw(1), draw(2)) * 2.5
+    ).withColumns(
+        {
+            "_humidity": _clip(
+                65 - (F.col("_temp") - F.col("base_temp")) * 0.8
+                + _normal(draw(1), draw(2), F.sin) * 10.0,
+                10.0,
+                100.0,
+            ),
+            "_wind": _clip(F.exp(_normal(draw(3), draw(4)) * 0.6 + 2.0), 0.0, 80.0),
+            "_pressure": _normal(draw(3), draw(4), F.sin) * 800.0
+            + 101325.0
+            - F.col("elevation_m") * 12.0,
+            "_rain": F.when(draw(11) < 0.15, F.log(draw(12)) * -3.0),
+            "_swing": _wind_swing(draw(5)),
+        }
+    )
+    prevailing = _uniform(seed, 200, "station_id") * 360.0
+    gust = F.when(draw(6) < 0.3, F.col("_wind") * (draw(7) * 1.2 + 1.3))
+    seen = F.when(draw(8) < 0.1, draw(9) * 2900.0 + 100.0).otherwise(draw(10) * 8000.0 + 8000.0)
+    nothing = F.lit(None).cast("double")
+    columns = {
+        "observation_timestamp": F.timestamp_seconds(F.col("_hour") * 3600 + FIRST_SECOND),
+        "observation_id": F.format_string("obs-%s-%08d", "station_id", "_row"),
+        "observation_type": F.lit("wx:ObservationStation"),
+        "geometry_type": F.lit("Point"),
+        "geometry_coordinates": F.format_string(
+            "[%s, %s]", F.col("lon").cast("string"), F.col("lat").cast("string")
+        ),
+        "temperature_degC": round_to(F.col("_temp"), 2),
+        "dewpoint_degC": round_to(F.col("_temp") - (100.0 - F.col("_humidity")) / 5.0, 2),
+        "wind_direction_deg": round_to(F.pmod(prevailing + F.col("_swing"), F.lit(360.0)), 1),
+        "wind_speed_kmh": round_to(mps_to_kmh(F.col("_wind")), 2),
+        "wind_gust_kmh": round_to(mps_to_kmh(gust), 2),
+        "barometric_pressure_Pa": round_to(F.col("_pressure"), 1),
+        "sea_level_pressure_Pa": round_to(F.col("_pressure") + F.col("elevation_m") * 12.0, 1),
+        "visibility_m": round_to(seen, 0),
+        "max_temp_24h_degC": nothing,
+        "min_temp_24h_degC": nothing,
+        "precipitation_3h_mm": round_to(F.col("_rain"), 2),
+        "relative_humidity_percent": round_to(F.col("_humidity"), 1),
+        "wind_chill_degC": nothing,
+        "heat_index_degC": nothing,
+    }
+    return measured.select(
+        *(columns.get(name, F.col(name)).alias(name) for name in METRIC_RAW.names)
+    )
