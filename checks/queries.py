@@ -16,7 +16,8 @@ from gaugeline.functions.rounding import round_to
 from gaugeline.functions.text import after_marker, last_segment
 from gaugeline.operators import mutate, quality
 from gaugeline.operators.ordering import number_rows
-from gaugeline.operators.stage import stage, stage_path
+from gaugeline.operators.stage import stage_path
+from gaugeline.operators.zscore import group_spread
 from gaugeline.plans import analytics, load, marts, runstats, staging
 from gaugeline.sources import generate, landed, tables
 from gaugeline.streaming import dedup, ingest, rollup
@@ -55,7 +56,9 @@ def dim_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extreme_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = marts.extreme_events(_fact(spark, sf_dir))
+    # The staged rows hold the same temperatures as the fact and need no numbering.
+    spread = group_spread(staged(spark, sf_dir), "station_id", "temperature_degC")
+    events = marts.extreme_events(_fact(spark, sf_dir), spread)
     return _rounded(events, 6, "stddev_temp", "temp_z_score")
 
 

@@ -3,7 +3,8 @@
 ``F.round`` on a double and a cast to decimal both go through a decimal string
 for every row, more than ten times the cost of the arithmetic below, and
 ``F.round`` also rounds the printed text (1.005 -> 1.01) where SQL engines round
-the scaled double (1.005 -> 1.0).
+the scaled double (1.005 -> 1.0). The expressions are kept short on purpose: a
+generated method above 8,000 bytes of bytecode is interpreted, not compiled.
 """
 
 from __future__ import annotations
@@ -14,29 +15,26 @@ from pyspark.sql import functions as F
 # From here on every double is a whole number.
 _WHOLE = float(2**52)
 
-
-def _magnitude(scaled: Column) -> Column:
-    """|scaled| rounded half away from zero; the fraction is compared exactly."""
-    size = F.abs(scaled)
-    whole = F.floor(size)
-    return whole + F.when(size - whole >= 0.5, 1).otherwise(0)
+# The largest double below one half: adding it instead of 0.5 keeps the sum of
+# 0.49999999999999994 and itself below one, and every exact half still rounds up.
+_HALF = 0.49999999999999994
 
 
 def round_to(value: Column, places: int = 0) -> Column:
     """``value`` scaled, rounded half away from zero and scaled back."""
-    factor = float(10**places)
-    scaled = value * factor
-    rounded = F.signum(scaled) * _magnitude(scaled).cast("double") / factor
+    scaled = value * float(10**places) if places else value
+    rounded = F.signum(scaled) * F.floor(F.abs(scaled) + _HALF)
     # The test is false for NaN, infinity and doubles that are already whole.
-    return F.when(F.abs(scaled) < _WHOLE, rounded).when(value.isNotNull(), value)
+    return F.when(F.abs(scaled) < _WHOLE, rounded / float(10**places)).otherwise(value)
 
 
 def scaled_long(value: Column, places: int = 2) -> Column:
-    """``value`` in whole units of ``10 ** -places`` as a bigint; NaN becomes NULL."""
-    scaled = value * float(10**places)
-    size = _magnitude(scaled)
-    small = F.when(scaled < 0, -size).otherwise(size)
-    return F.when(F.abs(scaled) < _WHOLE, small).when(~F.isnan(scaled), scaled.cast("bigint"))
+    """``value`` in whole units of ``10 ** -places`` as a bigint; NaN becomes NULL.
+
+    For values with at most ``places`` decimals, which sit next to a whole number
+    once scaled; beyond the range of a bigint ANSI mode raises.
+    """
+    return F.rint(F.nanvl(value, F.lit(None)) * float(10**places)).cast("bigint")
 
 
 def _average(total: Column, count: Column, places: int) -> Column:

@@ -30,16 +30,18 @@ def split_hot(
 
     A table of at most ``hot_rows`` rows has no hot group, which the row count
     settles from file footers. Otherwise one pre-aggregated pass over the keys
-    finds them; there are at most rows / ``hot_rows`` of them.
+    finds them; there are at most rows / ``hot_rows`` of them. The joins that
+    separate them keep a third of the table in one key spread as it was read,
+    because the list is small enough to broadcast.
     """
     if counts is None:
         if df.count() <= hot_rows:
             return df, None
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        counts = group_counts(df, keys)
     hot = counts.filter(F.col("_rows") > hot_rows).select(*keys)
-    hot = stage(hot, "hot-keys")
     if hot.isEmpty():
         return df, None
+    hot = stage(hot, "hot-keys")
     return (
         null_safe_join(df, hot, keys, "left_anti"),
         null_safe_join(df, hot, keys, "left_semi"),

@@ -149,21 +149,6 @@ def monthly_percentiles(
     )
 
 
-def approx_monthly_percentiles(
-    df: DataFrame,
-    key: str = STATION,
-    time: str = TIME,
-    temperature: str = TEMPERATURE,
-    wind: str = "wind_speed_kmh",
-    accuracy: int = 10_000,
-) -> DataFrame:
-    """Mergeable sketches instead of sorting: elements near the rank, not interpolated."""
-    return df.groupBy(key, month_of(F.col(time)).alias("month")).agg(
-        F.percentile_approx(temperature, 0.5, accuracy).alias("median_temp"),
-        F.percentile_approx(wind, 0.95, accuracy).alias("p95_wind"),
-    )
-
-
 def latest(
     df: DataFrame, columns: list[str], time: str = TIME, tie: tuple[str, ...] = (), n: int = 5
 ) -> DataFrame:

@@ -8,12 +8,19 @@ from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # Overflowing sums raise instead of wrapping around.
+    "spark.sql.ansi.enabled": "true",
+    # Saves a stack capture for every column expression built in Python.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
-    "spark.sql.parquet.filterPushdown": "true",
+    # State of streaming aggregations off the heap, with incremental checkpoints.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 _local_scratch: dict[str, str] = {}

@@ -10,12 +10,9 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from gaugeline.functions.rounding import round_to
 from gaugeline.functions.units import mps_to_kmh
 from gaugeline.schemas import METRIC_RAW
 
@@ -39,10 +36,11 @@ STATIONS = [
 FIRST_SECOND = 1_672_531_200  # 2023-01-01 00:00:00 UTC
 
 # Rows one task generates at a time.
-BLOCK_ROWS = 200_000
+BLOCK_ROWS = 50_000
 MAX_TASKS = 20_000
 
 _WIND_SPREAD = 2.0
+_WIND_STEPS = 1_024
 
 
 def default_stations(spark: SparkSession) -> DataFrame:
@@ -51,7 +49,7 @@ def default_stations(spark: SparkSession) -> DataFrame:
 
 def _uniform(seed: int, draw: int, *ids: str) -> Column:
     """A double strictly between 0 and 1."""
-    mixed = F.pmod(F.xxhash64(F.lit(seed), F.lit(draw), *ids), F.lit(1 << 53))
+    mixed = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(draw), *ids), 11)
     return (mixed + 0.5) / float(1 << 53)
 
 
@@ -59,23 +57,28 @@ def _normal(u: Column, v: Column, wave=F.cos) -> Column:
     return F.sqrt(F.log(u) * -2.0) * wave(v * (2.0 * math.pi))
 
 
+def _rounded(value: Column, places: int) -> Column:
+    return F.rint(value * float(10**places)) / float(10**places)
+
+
 def _clip(value: Column, low: float, high: float) -> Column:
     return F.least(F.greatest(value, F.lit(low)), F.lit(high))
 
 
 def _wind_swing(share: Column) -> Column:
-    """Degrees off the prevailing wind: the von Mises quantile of ``share``."""
-    angle = np.linspace(-np.pi, np.pi, 8193)
+    """Degrees off the prevailing wind: the von Mises quantile of ``share``.
+
+    Looked up between evenly spaced quantiles, which are integrated numerically.
+    """
+    angle = np.linspace(-np.pi, np.pi, 100_001)
     density = np.exp(_WIND_SPREAD * np.cos(angle))
     below = np.concatenate([[0.0], np.cumsum((density[1:] + density[:-1]) / 2)])
-    below, degrees = below / below[-1], np.degrees(angle)
-
-    # Defined here so that it is shipped by value and workers need no package.
-    @F.pandas_udf(T.DoubleType())
-    def quantile(share: pd.Series) -> pd.Series:
-        return pd.Series(np.interp(share, below, degrees))
-
-    return quantile(share)
+    quantiles = np.degrees(np.interp(np.linspace(0.0, below[-1], _WIND_STEPS + 1), below, angle))
+    table = F.expr("array(" + ", ".join(f"{float(q)!r}D" for q in quantiles) + ")")
+    place = share * float(_WIND_STEPS)
+    step = F.floor(place).cast("int")
+    low, high = F.get(table, step), F.get(table, step + 1)
+    return low + (high - low) * (place - step)
 
 
 def _station_rows(stations: DataFrame, rows: int, seed: int) -> tuple[DataFrame, int]:
@@ -157,18 +160,18 @@ def generate_observations(
         "geometry_coordinates": F.format_string(
             "[%s, %s]", F.col("lon").cast("string"), F.col("lat").cast("string")
         ),
-        "temperature_degC": round_to(F.col("_temp"), 2),
-        "dewpoint_degC": round_to(F.col("_temp") - (100.0 - F.col("_humidity")) / 5.0, 2),
-        "wind_direction_deg": round_to(F.pmod(prevailing + F.col("_swing"), F.lit(360.0)), 1),
-        "wind_speed_kmh": round_to(mps_to_kmh(F.col("_wind")), 2),
-        "wind_gust_kmh": round_to(mps_to_kmh(gust), 2),
-        "barometric_pressure_Pa": round_to(F.col("_pressure"), 1),
-        "sea_level_pressure_Pa": round_to(F.col("_pressure") + F.col("elevation_m") * 12.0, 1),
-        "visibility_m": round_to(seen, 0),
+        "temperature_degC": _rounded(F.col("_temp"), 2),
+        "dewpoint_degC": _rounded(F.col("_temp") - (100.0 - F.col("_humidity")) / 5.0, 2),
+        "wind_direction_deg": _rounded(F.pmod(prevailing + F.col("_swing"), F.lit(360.0)), 1),
+        "wind_speed_kmh": _rounded(mps_to_kmh(F.col("_wind")), 2),
+        "wind_gust_kmh": _rounded(mps_to_kmh(gust), 2),
+        "barometric_pressure_Pa": _rounded(F.col("_pressure"), 1),
+        "sea_level_pressure_Pa": _rounded(F.col("_pressure") + F.col("elevation_m") * 12.0, 1),
+        "visibility_m": _rounded(seen, 0),
         "max_temp_24h_degC": nothing,
         "min_temp_24h_degC": nothing,
-        "precipitation_3h_mm": round_to(F.col("_rain"), 2),
-        "relative_humidity_percent": round_to(F.col("_humidity"), 1),
+        "precipitation_3h_mm": _rounded(F.col("_rain"), 2),
+        "relative_humidity_percent": _rounded(F.col("_humidity"), 1),
         "wind_chill_degC": nothing,
         "heat_index_degC": nothing,
     }
