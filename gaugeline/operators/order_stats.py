@@ -89,7 +89,7 @@ def _by_window(
 def _by_range_sort(
     df: DataFrame, keys: list[str], stats: dict[str, OrderStat], aggregates: list[Column]
 ) -> DataFrame:
-    result = df.groupBy(*keys).agg(*aggregates)
+    result = df.groupBy(*keys).agg(*aggregates) if aggregates else df.select(*keys).distinct()
     for column in dict.fromkeys(stat.column for stat in stats.values()):
         values = (
             df.filter(F.col(column).isNotNull())

@@ -16,9 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeline.operators.mutate import delete_where, update_where
+from gaugeline.operators.quality import required_columns
 from gaugeline.operators.skew import null_safe_join
 from gaugeline.operators.stage import delete_path, stage
 
+_REQUIRED = "gaugeline.required"
+
 # Folder value that stands for NULL.
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
@@ -35,15 +38,17 @@ def create_table(
     folder: str,
     partition_by: tuple[str, ...] = (),
 ) -> None:
-    """Create ``name`` if absent; its files live in versioned folders below ``folder``."""
-    columns = ", ".join(
-        f"`{field.name}` {field.dataType.simpleString()}{'' if field.nullable else ' NOT NULL'}"
-        for field in schema
-    )
+    """Create ``name`` if absent; its files live in versioned folders below ``folder``.
+
+    Spark drops NOT NULL from Parquet tables, so the required columns are kept as
+    a table property that every write checks.
+    """
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{parts} "
-        f"LOCATION '{_version_path(folder)}'"
+        f"LOCATION '{_version_path(folder)}' "
+        f"TBLPROPERTIES ('{_REQUIRED}' = '{','.join(required_columns(schema))}')"
     )
 
 
@@ -63,18 +68,16 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 
 def append_rows(df: DataFrame, name: str) -> None:
-    """Append, matching columns by name."""
-    target = df.sparkSession.table(name)
-    _spread(df.select(*target.columns), name).write.insertInto(name)
+    """Append, matching columns by name; a NULL in a required column fails the write."""
+    _fitted(df, name).write.insertInto(name)
 
 
 def replace_rows(df: DataFrame, name: str) -> None:
     """Replace all rows; ``df`` may be derived from the table itself."""
     spark = df.sparkSession
-    target = spark.table(name)
     parts = _partition_columns(spark, name)
     path = _version_path(_location(spark, name).rsplit("/", 1)[0])
-    writer = _spread(df.select(*target.columns), name).write
+    writer = _fitted(df, name).write
     (writer.partitionBy(*parts) if parts else writer).parquet(path)
     if parts:
         # The catalog would otherwise keep the old folders of the partitions it lists.
@@ -90,9 +93,8 @@ def replace_partitions(df: DataFrame, name: str) -> None:
     """
     spark = df.sparkSession
     parts = _partition_columns(spark, name)
-    writer = _spread(df.select(*spark.table(name).columns), name).write.mode("overwrite")
-    writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
-    writer.parquet(_location(spark, name))
+    writer = _fitted(df, name).write.mode("overwrite").partitionBy(*parts)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(_location(spark, name))
     _find_partitions(spark, name, parts)
 
 
@@ -144,14 +146,24 @@ def _partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
 
 
-def _spread(df: DataFrame, name: str) -> DataFrame:
-    """Shuffle by partition value before a partitioned write.
+def _fitted(df: DataFrame, name: str) -> DataFrame:
+    """``df`` in the columns of the table, ready to be written.
 
-    Without it every task opens a file in every partition. Unlike a plain
-    repartition, a rebalance splits partitions that come out too large.
+    Rows of a partitioned table are shuffled by partition value: otherwise every
+    task opens a file in every partition. Unlike a plain repartition, a rebalance
+    splits partitions that come out too large.
     """
-    parts = _partition_columns(df.sparkSession, name)
-    return df.hint("rebalance", *parts) if parts else df
+    spark = df.sparkSession
+    properties = dict(map(tuple, spark.sql(f"SHOW TBLPROPERTIES {name}").collect()))
+    required = properties.get(_REQUIRED, "").split(",")
+
+    def checked(column: str) -> Column:
+        failure = F.raise_error(F.lit(f"NULL in required column {column}"))
+        return F.coalesce(F.col(column), failure).alias(column)
+
+    fitted = df.select(*(checked(c) if c in required else c for c in spark.table(name).columns))
+    parts = _partition_columns(spark, name)
+    return fitted.hint("rebalance", *parts) if parts else fitted
 
 
 def _find_partitions(spark: SparkSession, name: str, parts: list[str]) -> None:
