@@ -20,6 +20,9 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            # Plans are asserted on, so nothing in them may be abbreviated.
+            "spark.sql.maxMetadataStringLength": "10000",
+            "spark.sql.debug.maxToStringFields": "1000",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -1,0 +1,106 @@
+"""Generated observations: shares, ranges, null rates, uniqueness and reproducibility."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from gaugeline.operators.stage import stage
+from gaugeline.schemas import METRIC_RAW
+from gaugeline.sources.generate import STATIONS, default_stations, generate_observations
+
+ROWS = 100_000
+
+
+@pytest.fixture(scope="module")
+def observations(spark):
+    return stage(generate_observations(spark, ROWS), "generated")
+
+
+def test_layout(observations):
+    assert observations.columns == METRIC_RAW.names
+    expected = {f.name: f.dataType.simpleString() for f in METRIC_RAW} | {"geometry_coordinates": "string"}
+    assert dict(observations.dtypes) == expected
+
+
+def test_rows_and_shares(observations):
+    counts = {r["station_id"]: r["count"] for r in observations.groupBy("station_id").count().collect()}
+    assert set(counts) == {s[0] for s in STATIONS}
+    assert sum(counts.values()) == ROWS
+    assert min(counts.values()) > ROWS * 0.01 and max(counts.values()) < ROWS * 0.35
+
+
+def test_hours_are_unique_and_in_row_order(observations):
+    keyed = observations.select("station_id", "observation_timestamp", "observation_id")
+    assert keyed.dropDuplicates(["station_id", "observation_timestamp"]).count() == ROWS
+    assert observations.select("observation_id").distinct().count() == ROWS
+    for station, *_ in STATIONS[:2]:
+        mine = [r[2] for r in keyed.filter(F.col("station_id") == station).orderBy("observation_timestamp").collect()]
+        assert mine == [f"obs-{station}-{i:08d}" for i in range(len(mine))]
+    span = observations.agg(F.min("observation_timestamp"), F.max("observation_timestamp")).first()
+    assert span[0].year == 2023 and (span[1] - span[0]).total_seconds() / 3600 <= max(2 * ROWS // 10, 1)
+
+
+def test_ranges_and_rates(observations):
+    c = F.col
+    row = observations.agg(
+        F.min("relative_humidity_percent"), F.max("relative_humidity_percent"),
+        F.min("wind_speed_kmh"), F.max("wind_speed_kmh"),
+        F.min("wind_direction_deg"), F.max("wind_direction_deg"),
+        F.avg(c("wind_gust_kmh").isNotNull().cast("int")),
+        F.avg((c("visibility_m") <= 3000).cast("int")),
+        F.avg(c("precipitation_3h_mm").isNotNull().cast("int")),
+        F.max(F.abs(c("sea_level_pressure_Pa") - c("barometric_pressure_Pa") - c("elevation_m") * 12)),
+        F.min(c("wind_gust_kmh") / c("wind_speed_kmh")), F.max(c("wind_gust_kmh") / c("wind_speed_kmh")),
+        F.avg("precipitation_3h_mm"), F.stddev("sea_level_pressure_Pa"), F.avg("sea_level_pressure_Pa"),
+        F.expr("median(wind_speed_kmh)"),
+        F.count("max_temp_24h_degC") + F.count("min_temp_24h_degC") + F.count("wind_chill_degC") + F.count("heat_index_degC"),
+    ).first()
+    (h0, h1, w0, w1, d0, d1, gusts, hazy, rain, drift, g0, g1, mm, sigma, mean, wind, nothing) = row
+    assert 10 <= h0 and h1 <= 100 and 0 <= w0 and w1 <= 288 and 0 <= d0 and d1 <= 360
+    assert gusts == pytest.approx(0.30, abs=0.01)
+    assert hazy == pytest.approx(0.10, abs=0.01)
+    assert rain == pytest.approx(0.15, abs=0.01)
+    assert drift <= 0.1 + 1e-6
+    assert 1.2 < g0 and g1 < 2.6
+    assert mm == pytest.approx(3.0, rel=0.05)
+    assert sigma == pytest.approx(800, rel=0.02) and mean == pytest.approx(101325, abs=15)
+    assert wind == pytest.approx(2.718281828**2 * 3.6, rel=0.03)
+    assert nothing == 0
+
+
+def test_wind_direction_clusters_around_the_prevailing_wind(observations):
+    """The mean resultant length of a von Mises distribution with parameter 2 is I1(2)/I0(2)."""
+    angle = F.radians("wind_direction_deg")
+    lengths = observations.groupBy("station_id").agg(
+        F.hypot(F.avg(F.sin(angle)), F.avg(F.cos(angle))).alias("r")
+    )
+    for row in lengths.collect():
+        assert row["r"] == pytest.approx(0.6978, abs=0.03)
+
+
+def test_temperature_follows_the_season(observations):
+    by_month = observations.filter("station_id = 'KORD'").groupBy(F.month("observation_timestamp").alias("m")).agg(F.avg("temperature_degC").alias("t"))
+    got = {r["m"]: r["t"] for r in by_month.collect()}
+    assert got[6] - got[12] > 20
+
+
+def test_seed_and_partitions(spark):
+    def sample(seed, partitions):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        rows = generate_observations(spark, 2000, seed, default_stations(spark).repartition(partitions))
+        return sorted(map(str, rows.collect()))
+
+    try:
+        first = sample(1, 3)
+        assert first == sample(1, 8)
+        assert first != sample(2, 8)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+
+
+@pytest.mark.parametrize("rows", [1, 15, 999])
+def test_small_row_counts(spark, rows):
+    generated = generate_observations(spark, rows)
+    assert generated.count() == rows
+    assert generated.dropDuplicates(["station_id", "observation_timestamp"]).count() == rows

@@ -1,0 +1,115 @@
+"""Station pages and feature collections from JSON files."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from gaugeline.operators.stage import stage_path
+from gaugeline.plans import load
+from gaugeline.schemas import METRIC_RAW
+from gaugeline.sources import landed
+
+
+@pytest.fixture
+def folder(tmp_path):
+    def write(*documents: str) -> str:
+        target = tmp_path / uuid.uuid4().hex
+        target.mkdir()
+        for i, text in enumerate(documents):
+            (target / f"{i}.json").write_text(text)
+        return str(target)
+
+    return write
+
+
+def feature(**changes) -> dict:
+    properties = {
+        "timestamp": "2024-01-07T23:59:59+00:00",
+        "stationId": "KJFK",
+        "stationName": "JFK",
+        "elevation": {"unitCode": "wmoUnit:m", "value": 4},
+        "temperature": {"value": 21},
+        "windSpeed": {"value": None},
+        "barometricPressure": {"value": 101320.5},
+    }
+    return {
+        "id": "o1",
+        "type": "Feature",
+        "geometry": {"type": "Point", "coordinates": "@"},
+        "properties": properties | changes,
+    }
+
+
+def collection(*features: dict) -> str:
+    # The number text must arrive unchanged, trailing zero included.
+    return json.dumps({"features": list(features)}, indent=1).replace('"@"', "[-73.780, 40.64]")
+
+
+def test_station_pages_keep_the_last_page(spark, folder):
+    def page(stations, following):
+        return json.dumps({"observationStations": stations, "pagination": {"next": following}}, indent=2)
+
+    path = folder(
+        page(["u/s/A", "u/s/B"], "u/s?limit=500&cursor=abc"),
+        page(["u/s/C"], "u/s?limit=500&cursor=abc"),
+        page(["u/s/D"], None),
+        page([], "u/s?limit=500&cursor=def"),
+        '{"observationStations": ["u/s/E"]}',
+    )
+    pages = landed.read_station_pages(spark, path)
+    stations = landed.station_keys(landed.page_stations(pages)).collect()
+    assert {r["station_id"] for r in stations} == {"A", "B", "C", "D", "E"}
+    cursors = landed.page_cursors(pages).collect()
+    assert {(r["cursor"]) for r in cursors} == {"abc", "def"} and len(cursors) == 2
+
+
+def test_features_empty_null_and_unreadable(spark, folder):
+    path = folder(
+        collection(feature(), feature()), '{"features": []}', '{"features": null}', "{}", "{oops"
+    )
+    documents = landed.read_feature_collections(spark, path)
+    assert landed.explode_features(documents).count() == 2
+    assert documents.cache().filter(F.col(landed.CORRUPT).isNotNull()).count() == 1
+
+
+def test_flatten(spark, folder):
+    late = feature(stationId=None, timestamp="not a time", heatIndex={"value": 30})
+    path = folder(collection(feature()), collection(late))
+    flat = load.flatten_observations(
+        landed.explode_features(landed.read_feature_collections(spark, path))
+    )
+    assert flat.columns == METRIC_RAW.names
+    assert [f.dataType for f in flat.schema] == [f.dataType for f in METRIC_RAW]
+    row, other = flat.orderBy(F.col("station_id").desc()).collect()
+    assert row["observation_timestamp"] == dt.datetime(2024, 1, 7, 23, 59, 59)
+    assert row["geometry_coordinates"] == ["-73.780", "40.64"]
+    assert (row["elevation_m"], row["temperature_degC"]) == (4.0, 21.0)
+    assert row["wind_speed_kmh"] is None and row["dewpoint_degC"] is None
+    assert row["barometric_pressure_Pa"] == 101320.5
+    assert other["observation_timestamp"] is None and other["heat_index_degC"] == 30.0
+
+
+def test_load_sets_incomplete_rows_aside(spark, folder):
+    path = folder(collection(feature(), feature(stationId=None), feature(timestamp="soon")))
+    features = landed.explode_features(landed.read_feature_collections(spark, path))
+    good, aside = load.load_observations(features)
+    assert (good.count(), aside.count()) == (1, 2)
+
+
+def test_glob_reads_all_files(spark):
+    base = stage_path(spark, "glob")
+    for part in range(3):
+        landed.write_landed(spark.range(part, part + 1), f"{base}/observations_station_{part}")
+    got = landed.read_observations(spark, f"{base}/observations_station_*")
+    assert sorted(r["id"] for r in got.collect()) == [0, 1, 2]
+
+
+def test_json_field(spark):
+    row = spark.createDataFrame([('{"id": "x", "n": {"m": 1.50}}',)], "j string")
+    got = row.select(*(load.json_field(F.col("j"), p) for p in ("id", "n.m", "gone"))).first()
+    assert tuple(got) == ("x", "1.50", None) or tuple(got) == ("x", "1.5", None)

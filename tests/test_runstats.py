@@ -1,0 +1,59 @@
+"""Timing statistics and the format comparison."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from gaugeline.operators.stage import stage_path
+from gaugeline.plans import runstats
+
+
+@pytest.fixture(scope="module")
+def timings(spark):
+    runs = {
+        ("q", "parquet"): [10.0, 11.0, 12.0, 13.0, 14.0],
+        ("q", "iceberg"): [12.0, 13.0, 14.0, 15.0, 16.0],
+        ("once", "parquet"): [7.0],
+        ("many", "parquet"): [float(i) for i in range(20)],
+    }
+    rows = [(*key, t) for key, times in runs.items() for t in times]
+    return spark.createDataFrame(rows, "query string, format string, time_ms double")
+
+
+@pytest.mark.parametrize("hot_rows", [10**6, 1])
+def test_run_stats(timings, hot_rows):
+    got = {(r["query"], r["format"]): r for r in runstats.run_stats(timings, hot_rows=hot_rows).collect()}
+    five = got["q", "parquet"]
+    assert (five["median"], five["mean"], five["min"], five["max"]) == (12.0, 12.0, 10.0, 14.0)
+    assert (five["p95"], five["stddev"], five["runs"]) == (14.0, 1.58, 5)
+    assert (got["once", "parquet"]["stddev"], got["once", "parquet"]["p95"]) == (0.0, 7.0)
+    assert (got["many", "parquet"]["p95"], got["many", "parquet"]["median"]) == (19.0, 9.5)
+
+
+def test_overhead(timings):
+    report = runstats.overhead_report(runstats.run_stats(timings), "parquet", "iceberg")
+    rows = report.collect()
+    assert [r["query"] for r in rows] == ["q"]
+    assert (rows[0]["overhead_pct"], rows[0]["verdict"]) == (16.7, "Slight overhead")
+    assert tuple(runstats.mean_overhead(report).first()) == (1, 16.7)
+
+
+def test_verdict_bands(spark):
+    edges = {-5.1: "b FASTER", -5.0: "~Same", 4.9: "~Same", 5.0: "Slight overhead", 20.0: "Significant overhead", None: None}
+    rows = spark.createDataFrame([(e,) for e in edges], "x double")
+    got = rows.select("x", runstats.verdict(F.col("x"), F.lit("b")).alias("v")).collect()
+    assert {r["x"]: r["v"] for r in got} == edges
+
+
+def test_overhead_of_zero_base(spark):
+    row = spark.createDataFrame([(0.0, 3.0)], "a double, b double")
+    assert row.select(runstats.overhead_pct(F.col("a"), F.col("b"))).first()[0] is None
+
+
+def test_export_drops_raw_samples(spark, timings):
+    path = stage_path(spark, "report")
+    stats = runstats.run_stats(timings).withColumn("raw_times", F.array(F.lit(1.0)))
+    runstats.export_report(stats, path)
+    back = spark.read.json(path)
+    assert "raw_times" not in back.columns and back.count() == 4
