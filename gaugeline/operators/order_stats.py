@@ -1,9 +1,10 @@
 """Exact percentiles and other order statistics per group.
 
-Spark's ``percentile`` builds a value-to-count map per group in one task. Here
-ordinary groups are sorted by window functions that spill, in the same shuffle
-that carries the other aggregates; groups above ``hot_rows`` rows are reduced to
-distinct values with counts and placed by a range sort over all tasks.
+Spark's ``percentile`` merges a value-to-count map per group in one task, which is
+the fastest way for groups of ordinary size: readings have few decimals and
+repeat, so the map side combines most rows away. Groups above ``hot_rows`` rows
+become rows of distinct values with counts instead; those that still hold more
+than ``hot_rows`` distinct values are placed by a range sort over all tasks.
 """
 
 from __future__ import annotations
@@ -22,15 +23,19 @@ from gaugeline.operators.stage import stage
 
 @dataclass(frozen=True)
 class OrderStat:
-    """A value read at ``place(n)``, a 0-based fractional position among n sorted values."""
+    """A value read at ``place(n)``, a 0-based fractional position among n sorted values.
+
+    ``builtin`` is Spark's own aggregate for it, where there is one.
+    """
 
     column: str
     place: Callable[[Column], Column]
+    builtin: Column | None = None
 
 
 def percentile_cont(column: str, p: float) -> OrderStat:
     """Interpolated percentile."""
-    return OrderStat(column, lambda n: (n - 1) * p)
+    return OrderStat(column, lambda n: (n - 1) * p, F.percentile(column, p))
 
 
 def nearest_rank(column: str, p: float) -> OrderStat:
@@ -38,11 +43,6 @@ def nearest_rank(column: str, p: float) -> OrderStat:
     return OrderStat(column, lambda n: F.least(F.floor(n * p), n - 1).cast("double"))
 
 
-def _interpolate(low: Column, high: Column, place: Column) -> Column:
-    share = place - F.floor(place)
-    return low * (F.lit(1.0) - share) + high * share
-
-
 def grouped_order_stats(
     df: DataFrame,
     keys: list[str],
@@ -55,80 +55,113 @@ def grouped_order_stats(
     NULLs are ignored; a group without values yields NULL.
     """
     cold, hot = split_hot(df, keys, hot_rows)
-    result = _by_window(cold, keys, stats, aggregates)
+    result = _by_group(cold, keys, stats, aggregates)
     if hot is None:
         return result
-    return result.unionByName(_by_range_sort(hot, keys, stats, aggregates))
+    return result.unionByName(_by_counted_values(hot, keys, stats, aggregates, hot_rows))
 
 
-def _by_window(
+def _by_group(
     df: DataFrame, keys: list[str], stats: dict[str, OrderStat], aggregates: list[Column]
 ) -> DataFrame:
-    # One window per measured column; all share the one exchange on the keys.
-    for column in dict.fromkeys(stat.column for stat in stats.values()):
-        sorted_rows = W.partitionBy(*keys).orderBy(F.col(column).asc_nulls_last())
-        whole = sorted_rows.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    sorted_columns = {stat.column for stat in stats.values() if stat.builtin is None}
+    for column in sorted(sorted_columns):
+        ordered = W.partitionBy(*keys).orderBy(F.col(column).asc_nulls_last())
+        whole = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
         df = df.withColumns(
             {
-                f"_at_{column}": F.row_number().over(sorted_rows) - 1,
+                f"_at_{column}": F.row_number().over(ordered) - 1,
                 f"_n_{column}": F.count(column).over(whole),
             }
         )
+
+    def pick(stat: OrderStat, position: Column) -> Column:
+        return F.max(F.when(F.col(f"_at_{stat.column}") == position, F.col(stat.column)))
+
+    built = {name: stat for name, stat in stats.items() if stat.builtin is not None}
+    picked = {name: stat for name, stat in stats.items() if stat.builtin is None}
+    direct = [stat.builtin.alias(name) for name, stat in built.items()]
+    picks = _picks(picked, pick, lambda stat: F.col(f"_n_{stat.column}"))
+    return _interpolated(df.groupBy(*keys).agg(*aggregates, *direct, *picks), picked)
+
+
+def _by_counted_values(
+    df: DataFrame,
+    keys: list[str],
+    stats: dict[str, OrderStat],
+    aggregates: list[Column],
+    hot_rows: int,
+) -> DataFrame:
+    columns = list(dict.fromkeys(stat.column for stat in stats.values()))
+    measured = df.select(*keys, *(F.col(column).cast("double") for column in columns))
+    counted = (
+        measured.unpivot(keys, columns, "_measure", "_value")
+        .filter(F.col("_value").isNotNull())
+        .groupBy(*keys, "_measure", "_value")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+    )
+    group = [*keys, "_measure"]
+    cold, hot = split_hot(stage(counted, "counted-values"), group, hot_rows)
+    placed = _placed_by_window(cold, group)
+    if hot is not None:
+        placed = placed.unionByName(_placed_by_range_sort(hot, group))
+
+    def pick(stat: OrderStat, position: Column) -> Column:
+        held = (F.col("_end") - F.col("_rows") <= position) & (position < F.col("_end"))
+        return F.max(F.when((F.col("_measure") == stat.column) & held, F.col("_value")))
+
+    def size(stat: OrderStat) -> Column:
+        return F.when(F.col("_measure") == stat.column, F.col("_n"))
+
+    found = placed.groupBy(*keys).agg(*_picks(stats, pick, size))
+    totals = df.groupBy(*keys).agg(*aggregates) if aggregates else df.select(*keys).distinct()
+    return _interpolated(null_safe_join(totals, found, keys, "left"), stats)
+
+
+def _placed_by_window(counted: DataFrame, group: list[str]) -> DataFrame:
+    """Add ``_end``, the rows up to and including each value, and ``_n``, the rows of the group."""
+    ordered = W.partitionBy(*group).orderBy("_value")
+    upto = ordered.rowsBetween(W.unboundedPreceding, 0)
+    whole = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    return counted.withColumns(
+        {"_end": F.sum("_rows").over(upto), "_n": F.sum("_rows").over(whole)}
+    )
+
+
+def _placed_by_range_sort(counted: DataFrame, group: list[str]) -> DataFrame:
+    """``_placed_by_window`` for groups too large for one task."""
+    totals = stage(running_total(counted, [*group, "_value"], "_rows", "_upto"), "running-totals")
+    spans = totals.groupBy(*group).agg(
+        F.min(F.col("_upto") - F.col("_rows")).alias("_start"), F.sum("_rows").alias("_n")
+    )
+    return (
+        null_safe_join(totals, stage(spans, "group-spans"), group, "inner")
+        .withColumn("_end", F.col("_upto") - F.col("_start"))
+        .drop("_upto", "_start")
+    )
+
+
+def _picks(
+    stats: dict[str, OrderStat],
+    pick: Callable[[OrderStat, Column], Column],
+    size: Callable[[OrderStat], Column],
+) -> list[Column]:
+    """Per statistic: its place and the values on both sides of it."""
     picks = []
     for name, stat in stats.items():
-        place = stat.place(F.col(f"_n_{stat.column}"))
-        at = F.col(f"_at_{stat.column}")
+        place = stat.place(size(stat))
         picks += [
-            F.max(F.when(at == F.floor(place), F.col(stat.column))).alias(f"_low_{name}"),
-            F.max(F.when(at == F.ceil(place), F.col(stat.column))).alias(f"_high_{name}"),
+            pick(stat, F.floor(place)).alias(f"_low_{name}"),
+            pick(stat, F.ceil(place)).alias(f"_high_{name}"),
             F.max(place).alias(f"_place_{name}"),
         ]
-    return _finish(df.groupBy(*keys).agg(*aggregates, *picks), stats)
-
-
-def _by_range_sort(
-    df: DataFrame, keys: list[str], stats: dict[str, OrderStat], aggregates: list[Column]
-) -> DataFrame:
-    result = df.groupBy(*keys).agg(*aggregates) if aggregates else df.select(*keys).distinct()
-    for column in dict.fromkeys(stat.column for stat in stats.values()):
-        values = (
-            df.filter(F.col(column).isNotNull())
-            .groupBy(*keys, column)
-            .agg(F.count(F.lit(1)).alias("_rows"))
-        )
-        placed = running_total(values, [*keys, column], "_rows", "_end")
-        spans = stage(
-            placed.groupBy(*keys).agg(
-                F.min(F.col("_end") - F.col("_rows")).alias("_start"), F.sum("_rows").alias("_n")
-            ),
-            "group-spans",
-        )
-        inside = null_safe_join(placed, spans, keys, "inner").withColumns(
-            {
-                "_first": F.col("_end") - F.col("_rows") - F.col("_start"),
-                "_next": F.col("_end") - F.col("_start"),
-            }
-        )
-
-        def held(position: Column) -> Column:
-            covers = (F.col("_first") <= position) & (position < F.col("_next"))
-            return F.max(F.when(covers, F.col(column)))
-
-        picks = []
-        for name, stat in stats.items():
-            if stat.column == column:
-                place = stat.place(F.col("_n"))
-                picks += [
-                    held(F.floor(place)).alias(f"_low_{name}"),
-                    held(F.ceil(place)).alias(f"_high_{name}"),
-                    F.max(place).alias(f"_place_{name}"),
-                ]
-        result = null_safe_join(result, inside.groupBy(*keys).agg(*picks), keys, "left")
-    return _finish(result, stats)
+    return picks
 
 
-def _finish(df: DataFrame, stats: dict[str, OrderStat]) -> DataFrame:
+def _interpolated(df: DataFrame, stats: dict[str, OrderStat]) -> DataFrame:
     for name in stats:
-        value = _interpolate(F.col(f"_low_{name}"), F.col(f"_high_{name}"), F.col(f"_place_{name}"))
-        df = df.withColumn(name, value).drop(f"_low_{name}", f"_high_{name}", f"_place_{name}")
+        low, high, place = (F.col(f"_{part}_{name}") for part in ("low", "high", "place"))
+        share = place - F.floor(place)
+        df = df.withColumn(name, low * (F.lit(1.0) - share) + high * share)
+        df = df.drop(f"_low_{name}", f"_high_{name}", f"_place_{name}")
     return df
