@@ -10,6 +10,9 @@ from gaugeline.functions.timeparts import hour_slot
 from gaugeline.operators.skew import HOT_ROWS, group_counts, null_safe_join, split_hot
 from gaugeline.operators.stage import stage
 
+# Rows per task of a range sort.
+SORT_ROWS = 2_000_000
+
 # monotonically_increasing_id keeps the partition above and the row below this bit.
 _ROW_BITS = 33
 
@@ -23,12 +26,17 @@ def _sorted_stage(df: DataFrame, order: list[str]) -> DataFrame:
     """``df`` range-partitioned and sorted by ``order``, staged with ``_part`` and ``_row``.
 
     The incoming row id is the last sort key, so even rows that agree on every
-    other key spread over partitions. Staging fixes the partition bounds, which
-    Spark samples: every later pass sees the same layout.
+    other key spread over partitions, whose number follows the number of rows.
+    The input is staged with its row ids: a retried task must not number its rows
+    anew, and counting, sampling and sorting would otherwise each compute it. The
+    result is staged because Spark samples the partition bounds, so that every
+    later pass sees the same layout.
     """
+    tied = stage(df.withColumn("_tie", F.monotonically_increasing_id()), "unsorted")
+    sort_keys = ascending([*order, "_tie"])
     ordered = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .orderBy(*ascending([*order, "_tie"]))
+        tied.repartitionByRange(tied.count() // SORT_ROWS + 1, *sort_keys)
+        .sortWithinPartitions(*sort_keys)
         .drop("_tie")
         .withColumn("_slot", F.monotonically_increasing_id())
     )

@@ -23,6 +23,9 @@ SETTINGS = {
     ),
 }
 
+# Bytes one task should read or receive, so that its sort mostly stays in memory.
+TASK_BYTES = 128 * 1024 * 1024
+
 _local_scratch: dict[str, str] = {}
 
 
@@ -36,6 +39,20 @@ def build_session(app: str = "gaugeline", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def sized_for(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a cluster of ``cores`` that reads ``input_bytes`` of Parquet.
+
+    Shuffles start with enough partitions for rows twice their compressed size;
+    AQE merges the small ones, but cannot split a partition before a sort.
+    """
+    partitions = max(2 * cores, 2 * input_bytes // TASK_BYTES)
+    return {
+        "spark.sql.shuffle.partitions": str(min(partitions, 100_000)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(TASK_BYTES),
+    }
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 

@@ -11,10 +11,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gaugeline.operators import mutate
+from gaugeline.operators import mutate, ordering
 from gaugeline.operators.order_stats import grouped_order_stats, nearest_rank, percentile_cont
 from gaugeline.operators.ordering import (
-    _sorted_stage,
     global_position,
     number_rows,
     rank_hot,
@@ -27,6 +26,12 @@ START = dt.datetime(2024, 1, 1)
 ALL_COLD, ALL_HOT, MIXED = 10**6, 1, 40
 
 
+@pytest.fixture(autouse=True)
+def several_sort_tasks(monkeypatch):
+    """Small enough that a range sort of the test rows takes several tasks."""
+    monkeypatch.setattr(ordering, "SORT_ROWS", 60)
+
+
 @pytest.fixture(scope="module")
 def series(spark):
     """A third of the rows share one station and one instant; some keys, times and values are NULL."""
@@ -63,15 +68,12 @@ def test_number_rows_is_dense_when_the_order_has_ties(series):
     assert got == list(range(1, len(rows) + 1))
 
 
-def test_equal_keys_spread_over_sort_partitions(spark):
+def test_equal_keys_spread_over_sort_partitions(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "SORT_ROWS", 2_500)
     same = spark.range(20_000).select(F.lit(1).alias("k"), "id")
-    # So few bytes would otherwise be merged into one task after the shuffle.
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        sizes = [r["count"] for r in _sorted_stage(same, ["k"]).groupBy("_part").count().collect()]
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert sum(sizes) == 20_000 and max(sizes) < 5_000
+    staged = ordering._sorted_stage(same, ["k"])
+    sizes = [r["count"] for r in staged.groupBy("_part").count().collect()]
+    assert sum(sizes) == 20_000 and len(sizes) == 9 and max(sizes) < 5_000
 
 
 def test_positions_of_an_empty_table(spark):

@@ -8,7 +8,7 @@ from types import SimpleNamespace
 import pytest
 
 from gaugeline.operators import stage as staging
-from gaugeline.session import scratch_dir
+from gaugeline.session import TASK_BYTES, scratch_dir, sized_for
 from gaugeline.sources.locations import storage_conf, warehouse_path
 
 
@@ -17,6 +17,12 @@ def session(master: str, folder: str | None):
     return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId=master))
 
 
+def test_shuffles_grow_with_the_input():
+    assert sized_for(10**6, 8)["spark.sql.shuffle.partitions"] == "16"
+    assert sized_for(1000 * TASK_BYTES, 8)["spark.sql.shuffle.partitions"] == "2000"
+    assert sized_for(10**14, 4000)["spark.sql.shuffle.partitions"] == "100000"
+
+
 def test_shared_folder_wins():
     assert scratch_dir(session("yarn", "s3a://bucket/scratch/")) == "s3a://bucket/scratch"
 
