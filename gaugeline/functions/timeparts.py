@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def day_start(df: DataFrame, name: str) -> Column:
@@ -27,9 +28,17 @@ def day_of_week(ts: Column) -> Column:
     return (F.dayofweek(ts) - 1).cast("bigint")
 
 
-def hour_slot(ts: Column) -> Column:
-    """Hours since 1970 as a bigint, never decreasing as ``ts`` grows."""
-    return F.unix_date(F.to_date(ts)).cast("bigint") * 24 + F.hour(ts)
+def epoch_seconds(df: DataFrame, name: str) -> Column:
+    """Whole seconds since 1970 as a bigint, never decreasing as the column grows.
+
+    A zone-less timestamp is taken apart: converting it would run backwards where
+    the session zone skips an hour.
+    """
+    ts = F.col(name)
+    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
+        day = F.unix_date(F.to_date(ts)).cast("bigint")
+        return day * 86_400 + F.hour(ts) * 3_600 + F.minute(ts) * 60 + F.second(ts)
+    return F.unix_seconds(ts)
 
 
 def moment(df: DataFrame, name: str, text: str) -> Column:

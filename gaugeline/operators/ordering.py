@@ -6,13 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gaugeline.functions.timeparts import hour_slot
+from gaugeline.functions.timeparts import epoch_seconds
 from gaugeline.operators.skew import HOT_ROWS, group_counts, null_safe_join, split_hot
 from gaugeline.operators.stage import stage
 
 # Rows per task of a range sort.
 SORT_ROWS = 2_000_000
 
+# Rows per time slot that numbering aims at.
+SLOT_ROWS = 1_000_000
+
 # monotonically_increasing_id keeps the partition above and the row below this bit.
 _ROW_BITS = 33
 
@@ -38,15 +41,15 @@ def _sorted_stage(df: DataFrame, order: list[str]) -> DataFrame:
         tied.repartitionByRange(tied.count() // SORT_ROWS + 1, *sort_keys)
         .sortWithinPartitions(*sort_keys)
         .drop("_tie")
-        .withColumn("_slot", F.monotonically_increasing_id())
+        .withColumn("_id", F.monotonically_increasing_id())
     )
     staged = stage(ordered, "sorted")
     return staged.withColumns(
         {
-            "_part": F.shiftright("_slot", _ROW_BITS),
-            "_row": F.col("_slot").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
+            "_part": F.shiftright("_id", _ROW_BITS),
+            "_row": F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
         }
-    ).drop("_slot")
+    ).drop("_id")
 
 
 def _with_offsets(staged: DataFrame, weight: Column) -> DataFrame:
@@ -97,6 +100,19 @@ def rank_hot(df: DataFrame, keys: list[str], order: list[str], name: str) -> Dat
     )
 
 
+def _time_slots(df: DataFrame, ts: str) -> Column:
+    """Number of the time slot a row falls into, at about ``SLOT_ROWS`` rows per slot.
+
+    One pass over the time column gives the span and the number of rows. Small
+    tables get a thousand slots, to keep all tasks busy.
+    """
+    seconds = epoch_seconds(df, ts)
+    rows, first, last = df.agg(F.count(seconds), F.min(seconds), F.max(seconds)).first()
+    slots = max(rows // SLOT_ROWS, 1_000)
+    width = max((last - first) // slots, 1) if rows else 1
+    return F.floor(seconds / width)
+
+
 def number_rows(
     df: DataFrame,
     ts: str,
@@ -106,24 +122,25 @@ def number_rows(
 ) -> DataFrame:
     """Dense 1..n numbers in (``ts``, ``tie``) order, NULL times last.
 
-    Rows are numbered within their hour and shifted by the number of rows in
-    earlier hours. Only the per-hour counts, one row per hour of history, meet in
-    one partition. Hours above ``hot_rows`` rows are numbered by a range sort.
+    Rows are numbered within their time slot and shifted by the number of rows in
+    earlier slots. Only the counts per slot, of which there is one per
+    ``SLOT_ROWS`` rows, meet in one partition. Slots that come out above
+    ``hot_rows`` rows, such as one crowded instant, are numbered by a range sort.
     """
     order = [ts, *tie]
-    slotted = df.withColumn("_hour", hour_slot(F.col(ts)))
-    counts = group_counts(slotted, ["_hour"])
-    earlier = W.orderBy(F.col("_hour").asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
+    slotted = df.withColumn("_slot", _time_slots(df, ts))
+    counts = group_counts(slotted, ["_slot"])
+    earlier = W.orderBy(F.col("_slot").asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(
-        "_hour", F.coalesce(F.sum("_rows").over(earlier), F.lit(0).cast("bigint")).alias("_before")
+        "_slot", F.coalesce(F.sum("_rows").over(earlier), F.lit(0).cast("bigint")).alias("_before")
     )
-    cold, hot = split_hot(slotted, ["_hour"], hot_rows, counts)
-    within = W.partitionBy("_hour").orderBy(*ascending(order))
+    cold, hot = split_hot(slotted, ["_slot"], hot_rows, counts)
+    within = W.partitionBy("_slot").orderBy(*ascending(order))
     ranked = cold.withColumn("_rank", F.row_number().over(within).cast("bigint"))
     if hot is not None:
-        ranked = ranked.unionByName(rank_hot(hot, ["_hour"], order, "_rank"))
+        ranked = ranked.unionByName(rank_hot(hot, ["_slot"], order, "_rank"))
     return (
-        null_safe_join(ranked, offsets, ["_hour"], "inner")
+        null_safe_join(ranked, offsets, ["_slot"], "inner")
         .withColumn(name, F.col("_before") + F.col("_rank"))
-        .drop("_hour", "_before", "_rank")
+        .drop("_slot", "_before", "_rank")
     )

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from gaugeline.functions.rounding import exact_avg_over
 from gaugeline.operators.ordering import ascending, rank_hot
-from gaugeline.operators.skew import HOT_ROWS, split_hot
+from gaugeline.operators.skew import split_hot
+
+# Rows of one series that a task may sort; they are narrow, and the sort spills.
+SERIES_ROWS = 16_000_000
 
 
 def rolling_average(
@@ -19,7 +22,7 @@ def rolling_average(
     name: str,
     rows: int = 24,
     places: int = 2,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = SERIES_ROWS,
 ) -> DataFrame:
     """Average of ``value`` over the current and the ``rows - 1`` earlier rows of its series.
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from gaugeline.functions.rounding import exact_avg, round_to
 from gaugeline.functions.timeparts import day_start, hour_of, moment, month_of
 from gaugeline.operators.order_stats import grouped_order_stats, percentile_cont
-from gaugeline.operators.rolling import rolling_average
+from gaugeline.operators.rolling import SERIES_ROWS, rolling_average
 from gaugeline.operators.skew import HOT_ROWS
 from gaugeline.operators.zscore import EXTREME_ABOVE, with_zscore
 
@@ -105,7 +105,7 @@ def rolling_24(
     key: str = STATION,
     time: str = TIME,
     value: str = TEMPERATURE,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = SERIES_ROWS,
 ) -> DataFrame:
     """Mean of the last 24 rows of each station; ``tie`` orders rows of the same instant."""
     chosen = df if stations is None else df.filter(F.col(key).isin(stations))

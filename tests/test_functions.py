@@ -92,18 +92,29 @@ def test_time_parts(spark, kind):
         timeparts.hour_of(F.col("t")).alias("hour"),
         timeparts.day_of_week(F.col("t")).alias("dow"),
         timeparts.month_of(F.col("t")).alias("month"),
-        timeparts.hour_slot(F.col("t")).alias("slot"),
+        timeparts.epoch_seconds(rows, "t").alias("seconds"),
         (F.col("t") >= timeparts.moment(rows, "t", "2024-01-07 23:59:59")).alias("reached"),
     )
     assert dict(row.dtypes)["day"] == kind
-    assert row.select(F.col("day").cast("string"), "hour", "dow", "month", "slot", "reached").first()[
+    assert row.select(F.col("day").cast("string"), "hour", "dow", "month", "seconds", "reached").first()[
         :
-    ] == ("2024-01-07 00:00:00", 23, 0, 1, 19729 * 24 + 23, True)
-
-
-def test_hour_slot_before_1970(spark):
-    moment = dt.datetime(1969, 12, 31, 23, 30)
-    assert one(spark, timeparts.hour_slot, moment, "timestamp_ntz") == -1
+    ] == ("2024-01-07 00:00:00", 23, 0, 1, 19729 * 86400 + 86399, True)
+
+
+def test_epoch_seconds_before_1970_and_in_a_skipped_hour(spark):
+    moments = [
+        dt.datetime(1969, 12, 31, 23, 59, 58, 500_000),
+        dt.datetime(2024, 3, 10, 1, 59),
+        dt.datetime(2024, 3, 10, 2, 30),
+        dt.datetime(2024, 3, 10, 3, 0),
+    ]
+    rows = spark.createDataFrame([(m,) for m in moments], "t timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = [r[0] for r in rows.orderBy("t").select(timeparts.epoch_seconds(rows, "t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got[0] == -2 and [b - a for a, b in zip(got[1:], got[2:])] == [31 * 60, 30 * 60]
 
 
 def test_text_keys(spark):

@@ -80,14 +80,14 @@ def test_zscore_of_many_groups_falls_back_to_a_shuffle(spark, tiny_dir, capsys,
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_numbering_brings_only_hourly_counts_together(spark, tiny_dir, capsys):
+def test_numbering_brings_only_slot_counts_together(spark, tiny_dir, capsys):
     plan = explained(QUERIES["fact_observations"](spark, tiny_dir), capsys)
     details = re.findall(r"row_number\(\).*?ROWS|Window \[row_number\(\) windowspecdefinition\((\w+)", plan)
-    assert any("_hour" in d for d in details)
+    assert any("_slot" in d for d in details)
     lines = plan.splitlines()
     for at, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
-            assert "HashAggregate(keys=[_hour" in lines[at + 1]
+            assert "HashAggregate(keys=[_slot" in lines[at + 1]
     assert exchanges(plan).count("SinglePartition") == 1
 
 
