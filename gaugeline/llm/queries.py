@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import bpe_codec, token_counts, token_files
+from gaugeline.llm import bpe_codec, decontaminate, quality_rules, token_counts, token_files
 
 # Tokens a context holds.
 CONTEXT_TOKENS = 1024
@@ -22,6 +22,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base_failed = ~quality_rules.passes("base")
+    return quality_rules.ledger(documents(spark, sf_dir)).select(
+        "*", base_failed.alias("base_failed"), quality_rules.passes("v1").alias("kept")
+    )
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(documents(spark, sf_dir), tokenizer_path())
     return counted.withColumn("over_limit", F.col("n_tokens") > CONTEXT_TOKENS)
@@ -32,13 +39,28 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.find_contamination(documents(spark, sf_dir), benchmark, "found")
+    return found.select(
+        "doc_id",
+        "found.n_words",
+        "found.n_hit",
+        F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "found.items"), 256).alias("items_sha256"),
+        "found.contaminated",
+    )
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_token_files(documents(spark, sf_dir), tokenizer_path())
     return token_files.read_token_files(manifest)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
     "op3_bpe_codec": op3_bpe_codec,
+    "op6_decontaminate": op6_decontaminate,
     "op7_token_files": op7_token_files,
 }
