@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import bpe_codec, decontaminate, quality_rules, token_counts, token_files
+from gaugeline.llm import bpe_codec, decontaminate, quality_rules, simhash, token_counts, token_files
 
 # Tokens a context holds.
 CONTEXT_TOKENS = 1024
@@ -57,10 +57,16 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(manifest)
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", simhash.hexadecimal(F.col("bits")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
     "op3_bpe_codec": op3_bpe_codec,
     "op6_decontaminate": op6_decontaminate,
     "op7_token_files": op7_token_files,
+    "op8_simhash": op8_simhash,
 }
