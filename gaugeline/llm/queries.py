@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import bpe_codec, decontaminate, quality_rules, simhash, token_counts, token_files
+from gaugeline.llm import bpe_codec, decontaminate, quality_rules, secret_scan, simhash, token_counts, token_files
 
 # Tokens a context holds.
 CONTEXT_TOKENS = 1024
@@ -39,6 +39,22 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(documents(spark, sf_dir), name="found")
+    spans = F.col("found")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter(spans, lambda s: s["kind"].isin(*secret_scan.BASE))
+    return found.select(
+        "doc_id",
+        *map(number, secret_scan.BASE),
+        F.sha2(secret_scan.written(base), 256).alias("base_sha256"),
+        secret_scan.written(spans).alias("spans"),
+    )
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.find_contamination(documents(spark, sf_dir), benchmark, "found")
@@ -66,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
     "op3_bpe_codec": op3_bpe_codec,
+    "op5_secret_scan": op5_secret_scan,
     "op6_decontaminate": op6_decontaminate,
     "op7_token_files": op7_token_files,
     "op8_simhash": op8_simhash,
