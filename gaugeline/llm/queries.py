@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import bpe_codec, decontaminate, quality_rules, secret_scan, simhash, token_counts, token_files
+from gaugeline.llm import (
+    bpe_codec,
+    decontaminate,
+    quality_model,
+    quality_rules,
+    secret_scan,
+    simhash,
+    token_counts,
+    token_files,
+    toxicity,
+)
+from gaugeline.llm.labelled import fold
 
 # Tokens a context holds.
 CONTEXT_TOKENS = 1024
@@ -39,6 +50,20 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.learn_toxicity(docs, labels(spark, sf_dir), fold(3) != 1)
+    scored = docs.withColumn("held_out", fold(3) == 1).withColumn(
+        "score", toxicity.score_column(model, F.col("text"))
+    )
+    predicted = (F.col("score") >= toxicity.TOXIC_FROM).cast("int")
+    return scored.select("doc_id", "held_out", "score", predicted.alias("predicted"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(documents(spark, sf_dir), name="found")
     spans = F.col("found")
@@ -78,12 +103,24 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal(F.col("bits")).alias("fingerprint"), "component_id")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    ranking = quality_model.learn_quality(docs, labels(spark, sf_dir), fold(4) != 2)
+    scored = docs.withColumn("held_out", fold(4) == 2).withColumn(
+        "score", quality_model.score_column(ranking, F.col("text"))
+    )
+    predicted = (F.col("score") >= quality_model.KEEP_FROM).cast("int")
+    return scored.select("doc_id", "held_out", "score", predicted.alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
     "op3_bpe_codec": op3_bpe_codec,
+    "op4_toxicity": op4_toxicity,
     "op5_secret_scan": op5_secret_scan,
     "op6_decontaminate": op6_decontaminate,
     "op7_token_files": op7_token_files,
     "op8_simhash": op8_simhash,
+    "op9_quality_classifier": op9_quality_classifier,
 }
