@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gaugeline.llm import (
     bpe_codec,
     decontaminate,
+    kneser_ney,
     quality_model,
     quality_rules,
     secret_scan,
@@ -113,6 +114,12 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", predicted.alias("predicted"))
 
 
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = kneser_ney.learn(docs.filter(fold(10) != 0))
+    return kneser_ney.score_documents(docs, model, fold(10) == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_counts": op2_token_counts,
@@ -123,4 +130,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_files": op7_token_files,
     "op8_simhash": op8_simhash,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_kneser_ney": op10_kneser_ney,
 }
