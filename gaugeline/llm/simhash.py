@@ -204,17 +204,59 @@ def near_links(prints: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     return out
 
 
-def near_duplicates(docs: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(doc_id, bits, component_id) of every row of ``docs`` (doc_id, text)."""
-    marked = stage(docs.select(F.col("doc_id").cast("long"), fingerprint("text").alias("bits")), "fingerprints")
-    prints = stage(
-        marked.groupBy("bits").agg(F.min("doc_id").alias("doc")), "distinct-fingerprints"
-    )
+def _groups(marked: DataFrame, shard_rows: int) -> DataFrame:
+    """(print_bits, component_id) of every fingerprint in ``marked`` (doc_id, bits)."""
+    prints = stage(marked.groupBy("bits").agg(F.min("doc_id").alias("doc")), "distinct-fingerprints")
     known = prints.filter("doc IS NOT NULL")
     groups = connected_components(near_links(known, shard_rows))
-    of_print = known.join(groups, F.col("doc") == F.col("vertex"), "left").select(
+    return known.join(groups, F.col("doc") == F.col("vertex"), "left").select(
         F.col("bits").alias("print_bits"), F.coalesce("component", "doc").alias("component_id")
     )
-    return marked.join(of_print, F.col("bits") == F.col("print_bits"), "left").select(
+
+
+def near_duplicates(docs: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """(doc_id, bits, component_id) of every row of ``docs`` (doc_id, text)."""
+    marked = stage(docs.select(F.col("doc_id").cast("long"), fingerprint("text").alias("bits")), "fingerprints")
+    groups = _groups(marked, shard_rows)
+    return marked.join(groups, F.col("bits") == F.col("print_bits"), "left").select(
         "doc_id", "bits", "component_id"
     )
+
+
+def one_of_each(docs: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """One row of ``docs`` (doc_id, text and any others) for each group.
+
+    It is a row with the group's smallest doc_id; of rows that share it, the
+    one whose columns hash lowest, once if rows are equal. Rows without doc_id
+    stand for themselves by their fingerprint if no other row has it.
+    """
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if "map<" not in dict(docs.dtypes)[c]])
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row.alias("row"))
+    marked = stage(slim.select("doc_id", "row", fingerprint("text").alias("bits")), "marked-rows")
+    groups = _groups(marked, shard_rows)
+    in_groups = marked.join(groups, F.col("bits") == F.col("print_bits"), "left")
+    # Without a component the fingerprint itself names the group.
+    chosen = (
+        in_groups.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("bits")).alias("b"))
+        .agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))).alias("m"))
+        .select(F.col("m.doc_id").alias("kept_id"), F.col("m.row").alias("kept_row"))
+        .distinct()
+    )
+    repeats = marked.groupBy("doc_id", "row").agg(F.count(F.lit(1)).alias("repeats"))
+
+    def same(doc_id: Column, row: Column) -> Column:
+        return F.col("kept_id").eqNullSafe(doc_id) & (F.col("kept_row") == row)
+
+    chosen = stage(
+        chosen.join(repeats, same(F.col("doc_id"), F.col("row"))).select("kept_id", "kept_row", "repeats"),
+        "chosen-rows",
+    )
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+        F.col("doc_id").cast("long").alias("id"),
+        row.alias("row"),
+    )
+    kept = whole.join(chosen, same(F.col("id"), F.col("row")))
+    once = kept.filter("repeats = 1").select("doc.*")
+    again = kept.filter("repeats > 1").dropDuplicates(["id", "row"]).select("doc.*")
+    return once.unionByName(again)
