@@ -13,7 +13,8 @@ from them; a benchmark too large for one has several, which read a batch of
 texts in turn, so a worker holds one at a time whatever the benchmark's size.
 
 Null text and null items have no words. Items that share a window are all
-reported; item ids may be of any type and are given as strings.
+reported; item ids may be of any type and are given as strings. An item without
+an id marks words but is not listed.
 """
 
 from __future__ import annotations

@@ -97,12 +97,14 @@ def split_pieces(texts: list[str], special: str | None = None) -> Pieces:
         segments += parts
         owners += [row] * len(parts)
         opened += [False, *[True] * (len(parts) - 1)]
+    if not segments:
+        segments, owners, opened = [""], [0], [False]
     joined = "\0".join(segments) + "\0"
     codes = np.frombuffer(joined.encode("utf-32-le"), "<u4").copy()
     sizes = np.fromiter(map(len, segments), np.int64, len(segments)) + 1
     ends = np.cumsum(sizes)
     # The code after a segment: a special token if the next one follows in the same text.
-    more = np.append(np.array(opened[1:], bool), False) if segments else np.empty(0, bool)
+    more = np.append(np.array(opened[1:], bool), False)
     codes[ends - 1] = np.where(more, _SPECIAL_CODE, _SEPARATOR_CODE)
     starts = np.flatnonzero(piece_starts(codes))
     stops = np.append(starts[1:], len(codes))

@@ -114,7 +114,7 @@ hits AS (
   FROM (SELECT r, unnest(range(i, i + size)) AS j FROM (SELECT DISTINCT r, i, size FROM found)) GROUP BY r
 ),
 owners AS (
-  SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS joined
+  SELECT r, count(item) AS n, string_agg(item, ',' ORDER BY item) AS joined
   FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
 )
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(hits.n, 0)::BIGINT AS n_hit,

@@ -1,0 +1,74 @@
+"""Small hard tables for every operator."""
+
+from __future__ import annotations
+
+import public_tokenizers
+import pytest
+
+SECRET = "token = 'abcdef0123456789ABCDEF'"
+
+# Text, by what is hard about it.
+TEXTS = {
+    "null": None,
+    "empty": "",
+    "blank": " \n\t ",
+    "one word": "word",
+    "special": "a<|endoftext|>b <|endoftext|>",
+    "marks": "naïve café, l'été — 日本語 🙂 don't  stop\n\n'S x",
+    "long": "lorem ipsum dolor 12345 sit amet; " * 4000,
+    "unsplit": "ab" * 40_000,
+    "spaces": " " * 40_000 + "x",
+    "secret": SECRET,
+    "lines": "same line here\n" * 60,
+    "symbols": "es%%% er### on*** a$$$ von!! " * 30,
+    "insult": "you are a st*pid m0r0n and an i d i o t, stuuuupid",
+}
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def rows_of(texts) -> list[tuple]:
+    return [(i, t, "en", "s", None if t is None else len(t)) for i, t in enumerate(texts)]
+
+
+@pytest.fixture(scope="session")
+def tokenizer() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="session")
+def hard(spark):
+    """Nulls in any column, hard texts, repeated rows, ties."""
+    rows = rows_of(TEXTS.values())
+    nulls = [(None, "without an id", None, None, None), (None, None, None, None, None)]
+    return spark.createDataFrame(rows + rows[3:6] + [rows[9]] + nulls + nulls[:1], SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def table_dir(spark, hard, tmp_path_factory):
+    """A folder of tables: the hard rows with labels, benchmark, and extra columns that clash."""
+    folder = str(tmp_path_factory.mktemp("tables"))
+    extra = (
+        "*", "1 AS n_words", "2 AS `row`", "3 AS bits", "'x' AS kind", "true AS kept", "4 AS score",
+        "5 AS shard", "6 AS `key`", "7 AS found", "8 AS doc", "9 AS label", "10 AS component_id", "11 AS ids",
+    )
+    hard.selectExpr(*extra).write.parquet(f"{folder}/documents.parquet")
+    labels = [(i, int(i % 3 > 0), int(i % 4 == 0)) for i in range(12)] + [(None, 1, 1), (3, 1, 0), (3, 0, 1), (5, None, None)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    items = [(0, "lorem ipsum dolor"), (1, None), (2, ""), (2, "same line here"), (None, "word")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return folder
+
+
+@pytest.fixture(scope="session")
+def empty_dir(spark, empty, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("empty"))
+    empty.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return folder
