@@ -50,9 +50,9 @@ def imperial_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("L"), F.col("user_id") % 5).alias("location"),
         F.when(F.col("event_id") % 97 != 0, F.col("ts")).alias("observation_time"),
         F.when(F.col("event_id") % 89 != 0, F.col("value")).alias("temperature_f"),
-        _measure_k().alias("humidity_pct"),
+        (_measure_k() + F.col("value") / 7.0).alias("humidity_pct"),
         round_to(F.col("value") / 4.0, 2).alias("wind_speed_mph"),
-        (F.lit(1013.25) - _measure_k() / 4.0).alias("pressure_mb"),
+        (F.lit(1013.25) - F.col("value") / 7.0).alias("pressure_mb"),
         F.col("event_type").alias("condition"),
     )
 
@@ -61,11 +61,17 @@ def staged(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ("event_id"
     return from_imperial(imperial_raw(spark, sf_dir), keep)
 
 
-def feature_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feature_documents(spark: SparkSession, sf_dir: str, faulty: bool = False) -> DataFrame:
     """Events as GeoJSON collections of one station, read back from landed JSON text.
 
-    Event ids are unique, so a page holds at most ``PAGE_ROWS`` of them.
+    Event ids are unique, so a page holds at most ``PAGE_ROWS`` of them. ``faulty``
+    documents have text for the temperature of errors, no station for every 97th
+    event, and end too early for every 50th user.
     """
+    temperature, station = F.col("value"), F.concat(F.lit("ST"), F.col("user_id"))
+    if faulty:
+        temperature = F.when(F.col("event_type") == "error", "n/a").otherwise(temperature.cast("string"))
+        station = F.when(F.col("event_id") % 97 != 0, station)
 
     def reading(value: Column) -> Column:
         return F.struct(value.alias("value"))
@@ -83,10 +89,10 @@ def feature_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("geometry"),
         F.struct(
             F.concat(F.regexp_replace(stamp, " ", "T"), F.lit("+00:00")).alias("timestamp"),
-            F.concat(F.lit("ST"), F.col("user_id")).alias("stationId"),
+            station.alias("stationId"),
             F.when(F.col("event_type") != "error", F.col("event_type")).alias("stationName"),
             reading(F.col("user_id") % 100).alias("elevation"),
-            reading(F.col("value")).alias("temperature"),
+            reading(temperature).alias("temperature"),
             reading(F.when(k > 50, k)).alias("windSpeed"),
             reading(k).alias("relativeHumidity"),
         ).alias("properties"),
@@ -95,8 +101,12 @@ def feature_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "events")
         .groupBy("user_id", F.floor(F.col("event_id") / PAGE_ROWS).alias("page"))
         .agg(F.collect_list(feature).alias("features"))
-        .select(F.to_json(F.struct("features")).alias("value"))
+        .select("user_id", F.to_json(F.struct("features")).alias("value"))
     )
+    whole = F.col("value")
+    if faulty:
+        whole = F.when(F.col("user_id") % 50 == 0, F.expr("left(value, length(value) - 9)")).otherwise(whole)
+    pages = pages.select(whole.alias("value"))
     path = stage_path(spark, "landed-features")
     pages.write.text(path)
     return read_feature_collections(spark, path, one_per_file=False)
@@ -118,6 +128,12 @@ def station_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_station_pages(spark, path, one_per_file=False)
 
 
+def charged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with ``charge``, a reading of many decimals."""
+    charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+    return table(spark, sf_dir, "lineitem").withColumn("charge", charge)
+
+
 def metric_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as metric readings, keyed by supplier."""
     return table(spark, sf_dir, "lineitem").select(
@@ -132,13 +148,9 @@ def metric_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def timings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clicks and views as timings of a user's query in two formats."""
-    return (
-        table(spark, sf_dir, "events")
-        .filter(F.col("event_type").isin("click", "view"))
-        .select(
-            F.col("user_id").alias("query"),
-            F.col("event_type").alias("format"),
-            F.col("value").alias("time_ms"),
-        )
+    """Events as timings of a user's query in as many formats as there are types."""
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("query"),
+        F.col("event_type").alias("format"),
+        (F.col("value") / 7.0).alias("time_ms"),
     )

@@ -14,12 +14,13 @@ from checks import adapter
 from checks.adapter import staged, table
 from gaugeline.functions.rounding import round_to
 from gaugeline.functions.text import after_marker, last_segment
-from gaugeline.operators import mutate, quality
+from gaugeline.operators import mutate, order_stats, quality
 from gaugeline.operators.ordering import number_rows
-from gaugeline.operators.stage import stage_path
+from gaugeline.operators.stage import stage, stage_path
 from gaugeline.operators.zscore import group_spread
 from gaugeline.plans import analytics, load, marts, runstats, staging
-from gaugeline.sources import generate, landed, tables
+from gaugeline.schemas import METRIC_RAW
+from gaugeline.sources import landed, tables
 from gaugeline.streaming import dedup, ingest, rollup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,7 +60,7 @@ def extreme_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The staged rows hold the same temperatures as the fact and need no numbering.
     spread = group_spread(staged(spark, sf_dir), "station_id", "temperature_degC")
     events = marts.extreme_events(_fact(spark, sf_dir), spread)
-    return _rounded(events, 6, "stddev_temp", "temp_z_score")
+    return _rounded(events, 6, "avg_temp", "stddev_temp", "temp_z_score")
 
 
 def classify_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +76,7 @@ def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write all five models as tables and report their row counts."""
+    """Staging as a view, four models as tables, and the rows of all five."""
     namespace, folder = f"obs_{uuid.uuid4().hex}", stage_path(spark, "marts")
     tables.create_namespace(spark, namespace, folder)
 
@@ -83,20 +84,35 @@ def build_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables.save_mart(df, f"{namespace}.{name}", f"{folder}/{name}")
         return tables.read_table(spark, f"{namespace}.{name}")
 
-    observations = save("stg_observations", staging.with_load_time(staged(spark, sf_dir)))
+    save("raw_observations", adapter.imperial_raw(spark, sf_dir))
+    view = staging.imperial_view(f"{namespace}.raw_observations", ("event_id",))
+    tables.save_view(spark, f"{namespace}.stg_observations", view)
+    observations = tables.read_table(spark, f"{namespace}.stg_observations")
     fact = save("fact_observations", marts.fact_observations(observations, ["event_id"]))
-    models = {
-        "stg_observations": observations,
-        "fact_observations": fact,
-        "fact_daily_weather": save("fact_daily_weather", marts.daily_weather(fact)),
-        "dim_stations": save("dim_stations", marts.station_dimension(observations)),
-        "extreme_weather_events": save("extreme_weather_events", marts.extreme_events(fact)),
-    }
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("model"), "row_count")
-        for name, df in models.items()
-    ]
-    return staging.union_sources(*counts)
+    # The first version has other columns and fewer rows.
+    save("fact_daily_weather", marts.daily_weather(fact.filter("observation_hour < 6")).drop("avg_pressure_mb"))
+    daily = save("fact_daily_weather", marts.daily_weather(fact))
+    stations = save("dim_stations", marts.station_dimension(observations))
+    extreme = save("extreme_weather_events", marts.extreme_events(fact))
+
+    def rows(model: str, df: DataFrame, moment: str, number: str, reading) -> DataFrame:
+        return df.select(
+            F.lit(model).alias("model"),
+            "station_id",
+            F.col(moment).cast("timestamp_ntz").alias("moment"),
+            F.col(number).cast("long").alias("number"),
+            reading.alias("reading"),
+        )
+
+    time, celsius = "observation_timestamp", F.col("temperature_degC")
+    result = staging.union_sources(
+        rows("stg_observations", observations, time, "event_id", celsius),
+        rows("fact_observations", fact, time, "observation_id", celsius),
+        rows("fact_daily_weather", daily, "observation_date", "observation_count", F.col("avg_pressure_mb")),
+        rows("dim_stations", stations, "first_observation", "total_observations", F.lit(None).cast("double")),
+        rows("extreme_weather_events", extreme, time, "observation_id", round_to(F.col("temp_z_score"), 6)),
+    )
+    return _kept(spark, namespace, result)
 
 
 # --- analytical queries -----------------------------------------------------
@@ -107,7 +123,7 @@ def full_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def count_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.count_rows(table(spark, sf_dir, "lineitem"))
+    return analytics.count_rows(landed.read_footers(spark, f"{sf_dir}/lineitem.parquet"))
 
 
 def filtered_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,10 +134,10 @@ def filtered_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_aggregation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.daily_aggregation(
-        table(spark, sf_dir, "lineitem"),
+        adapter.charged(spark, sf_dir),
         key="l_suppkey",
         time="l_shipdate",
-        temperature="l_extendedprice",
+        temperature="charge",
         humidity="l_discount",
         wind="l_quantity",
         pressure="l_tax",
@@ -130,42 +146,49 @@ def daily_aggregation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def anomaly_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = analytics.anomaly_detection(staged(spark, sf_dir), row_key="event_id")
-    return _rounded(found, 6, "stddev_temp", "temp_z_score")
+    return _rounded(found, 6, "avg_temp", "stddev_temp", "temp_z_score")
 
 
 def station_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer, orders = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
     placed = orders.join(customer, orders.o_custkey == customer.c_custkey)
-    return analytics.station_dimension(
-        placed, ("c_custkey", "c_name", "c_nationkey"), "o_orderdate", "o_totalprice"
+    dimension = analytics.station_dimension(
+        placed.withColumn("reading", F.col("o_totalprice") / 7.0),
+        ("c_custkey", "c_name", "c_nationkey"),
+        "o_orderdate",
+        "reading",
     )
+    return _rounded(dimension, 6, "avg_temp")
 
 
 def rolling_avg(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    return analytics.rolling_24(staged(spark, sf_dir), tie=("event_id",), **options)
+    """Over humidity, which staging does not round."""
+    rolled = analytics.rolling_24(staged(spark, sf_dir), tie=("event_id",), value="humidity_pct", **options)
+    return _rounded(rolled, 6, "rolling_24h_avg")
 
 
 def rolling_avg_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolling_avg(spark, sf_dir, stations=["ST1", "ST2", "ST3"])
 
 
-def monthly_percentiles(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+def monthly_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = analytics.monthly_percentiles(
-        table(spark, sf_dir, "lineitem"),
+        adapter.charged(spark, sf_dir),
         key="l_suppkey",
         time="l_shipdate",
-        temperature="l_quantity",
+        temperature="charge",
         wind="l_extendedprice",
         precipitation="l_tax",
         humidity="l_discount",
         humid_above=0.05,
-        **options,
     )
-    return _rounded(result, 4, "median_temp", "p95_wind")
+    return _rounded(result, 4, "median_temp", "p95_wind", "avg_temp_humid")
 
 
 def load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.load_stats(staged(spark, sf_dir))
+    """With readings that staging does not round."""
+    stats = analytics.load_stats(staged(spark, sf_dir), value="humidity_pct")
+    return _rounded(stats, 6, "avg_temp_degC")
 
 
 def latest_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,7 +218,7 @@ def features_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapter.features(spark, sf_dir).select(
         observation["id"].alias("observation_id"),
         observation["properties"]["stationId"].alias("station_id"),
-        observation["properties"]["temperature"]["value"].alias("temperature"),
+        observation["properties"]["temperature"]["value"].cast("double").alias("temperature"),
     )
 
 
@@ -205,17 +228,28 @@ def _flat(df: DataFrame) -> DataFrame:
 
 
 def flatten_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(load.flatten_observations(adapter.features(spark, sf_dir)))
+    flat = load.flatten_observations(adapter.features(spark, sf_dir))
+    return _flat(quality.apply_contract(flat, METRIC_RAW))
 
 
 def load_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents to a contract-checked table partitioned by day, read back."""
-    good, _ = load.load_observations(adapter.features(spark, sf_dir))
+    """Documents to a contract-checked table partitioned by day, read back; rejects are landed."""
+    good, rejects = load.load_observations(adapter.feature_documents(spark, sf_dir))
+    landed.land_rejects(rejects, stage_path(spark, "rejects"))
     dated = good.withColumn("observation_day", F.to_date("observation_timestamp"))
-    name, folder = f"loaded_{uuid.uuid4().hex}", stage_path(spark, "loaded")
-    tables.create_table(spark, name, dated.schema, folder, ("observation_day",))
+    namespace, name = _new_table(spark, dated, ("observation_day",))
     tables.append_rows(dated, name)
-    return _flat(tables.read_table(spark, name).drop("observation_day"))
+    return _kept(spark, namespace, _flat(tables.read_table(spark, name).drop("observation_day")))
+
+
+def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows loaded and rejects by reason, of documents with faults."""
+    good, rejects = load.load_observations(adapter.feature_documents(spark, sf_dir, faulty=True))
+    path = stage_path(spark, "rejects")
+    landed.land_rejects(rejects, path)
+    counted = landed.reject_counts(spark.read.schema("reason string, record string").parquet(path))
+    loaded = good.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit("loaded").alias("reason"), "row_count")
+    return counted.unionByName(loaded)
 
 
 def station_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,30 +272,60 @@ def url_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _new_table(
     spark: SparkSession, df: DataFrame, partition_by: tuple[str, ...] = ()
-) -> str:
-    """An empty table with the columns of ``df``, in a namespace of its own."""
+) -> tuple[str, str]:
+    """A namespace and in it an empty table with the columns of ``df``."""
     namespace, folder = f"obs_{uuid.uuid4().hex}", stage_path(spark, "table")
     tables.create_namespace(spark, namespace, folder)
     name = f"{namespace}.observations"
     tables.create_table(spark, name, df.schema, f"{folder}/observations", partition_by)
-    return name
+    return namespace, name
+
+
+def _kept(spark: SparkSession, namespace: str, result: DataFrame) -> DataFrame:
+    """``result`` out of its tables, which go."""
+    kept = stage(result, "result")
+    tables.drop_namespace(spark, namespace)
+    return kept
 
 
 def append_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    name = _new_table(spark, orders)
+    namespace, name = _new_table(spark, orders)
     tables.append_rows(orders.filter("o_orderstatus = 'F'"), name)
     tables.append_rows(orders.filter("o_orderstatus <> 'F'"), name)
-    return tables.read_table(spark, name)
+    return _kept(spark, namespace, tables.read_table(spark, name))
 
 
 def overwrite_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replace a table by a selection from itself."""
     orders = table(spark, sf_dir, "orders")
-    name = _new_table(spark, orders)
+    namespace, name = _new_table(spark, orders)
     tables.append_rows(orders, name)
     tables.replace_rows(tables.read_table(spark, name).filter("o_totalprice > 100000"), name)
-    return tables.read_table(spark, name)
+    return _kept(spark, namespace, tables.read_table(spark, name))
+
+
+def overwrite_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replace all partitions of a table at once, by fewer of them."""
+    events = _dated_events(spark, sf_dir)
+    namespace, name = _new_table(spark, events, ("day",))
+    tables.append_rows(events, name)
+    tables.replace_rows(tables.read_table(spark, name).filter("day > '2024-01-10' AND value > 20"), name)
+    return _kept(spark, namespace, tables.read_table(spark, name))
+
+
+def replace_mart_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart saved again with another column, another type and other partitions."""
+    orders = table(spark, sf_dir, "orders")
+    namespace, folder = f"obs_{uuid.uuid4().hex}", stage_path(spark, "mart")
+    tables.create_namespace(spark, namespace, folder)
+    name = f"{namespace}.orders"
+    tables.save_mart(orders.drop("o_orderpriority"), name, f"{folder}/orders", ("o_orderstatus",))
+    changed = orders.withColumns(
+        {"urgent": F.col("o_orderpriority") == "1-URGENT", "o_custkey": F.col("o_custkey").cast("string")}
+    )
+    tables.save_mart(changed, name, f"{folder}/orders")
+    return _kept(spark, namespace, tables.read_table(spark, name))
 
 
 def update_where(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,31 +347,31 @@ def _dated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def update_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """UPDATE on a table partitioned by day."""
     events = _dated_events(spark, sf_dir)
-    name = _new_table(spark, events, ("day",))
+    namespace, name = _new_table(spark, events, ("day",))
     tables.append_rows(events, name)
     wrong = (F.col("event_type") == "error") & (F.col("day") >= "2024-01-20")
     tables.update_rows(spark, name, {"value": F.col("value") + 1}, wrong)
-    return tables.read_table(spark, name)
+    return _kept(spark, namespace, tables.read_table(spark, name))
 
 
 def delete_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DELETE on a table partitioned by day; it empties some days and thins out others."""
     events = _dated_events(spark, sf_dir)
-    name = _new_table(spark, events, ("day",))
+    namespace, name = _new_table(spark, events, ("day",))
     tables.append_rows(events, name)
     old = F.col("day") < "2024-01-05"
     tables.delete_rows(spark, name, old | (F.col("value") > 100))
-    return tables.read_table(spark, name)
+    return _kept(spark, namespace, tables.read_table(spark, name))
 
 
 def replace_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replace some days of a table; the other days stay."""
     events = _dated_events(spark, sf_dir)
-    name = _new_table(spark, events, ("day",))
+    namespace, name = _new_table(spark, events, ("day",))
     tables.append_rows(events, name)
     recent = events.filter(F.col("day") >= "2024-01-20")
     tables.replace_partitions(recent.withColumn("value", F.lit(0.0)), name)
-    return tables.read_table(spark, name)
+    return _kept(spark, namespace, tables.read_table(spark, name))
 
 
 def incremental_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,9 +389,9 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def managed_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier")
-    name = _new_table(spark, supplier)
+    namespace, name = _new_table(spark, supplier)
     tables.append_rows(supplier, name)
-    return tables.read_table(spark, name)
+    return _kept(spark, namespace, tables.read_table(spark, name))
 
 
 def weather_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -339,10 +403,11 @@ def weather_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("temperature_degC").alias("temperature"),
         F.array("location", "condition").alias("tags"),
     )
-    name = _new_table(spark, samples)
+    namespace, name = _new_table(spark, samples)
     tables.append_rows(samples, name)
     listed = tables.read_table(spark, name).withColumn("tags", F.array_join("tags", ","))
-    return analytics.warm_samples(listed, ["id", "name", "tags"], "timestamp", "temperature")
+    warm = analytics.warm_samples(listed, ["id", "name", "tags"], "timestamp", "temperature")
+    return _kept(spark, namespace, warm)
 
 
 # --- quality ----------------------------------------------------------------
@@ -394,8 +459,18 @@ def schema_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- timings ----------------------------------------------------------------
 
 
-def run_stats(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    return _rounded(runstats.run_stats(adapter.timings(spark, sf_dir), **options), 4, "median")
+def run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(runstats.run_stats(adapter.timings(spark, sf_dir)), 4, "median", "p95")
+
+
+def _by_range_sort(query: Query, values: int, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``query`` with groups above ``values`` distinct values placed by a range sort."""
+    kept = order_stats.WINDOW_VALUES
+    order_stats.WINDOW_VALUES = values
+    try:
+        return query(spark, sf_dir)
+    finally:
+        order_stats.WINDOW_VALUES = kept
 
 
 def overhead_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -412,12 +487,11 @@ def mean_overhead(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def result_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Timings written as JSON without their raw samples, read back."""
-    stats = runstats.run_stats(adapter.timings(spark, sf_dir)).withColumn(
-        "raw_times", F.array("min", "max")
-    )
+    stats = run_stats(spark, sf_dir).withColumn("raw_times", F.array("min", "max"))
     path = stage_path(spark, "report")
-    runstats.export_report(stats.select("query", "format", "runs", "max", "raw_times"), path)
-    return spark.read.schema("query long, format string, runs long, max double").json(path)
+    runstats.export_report(stats, path)
+    columns = "median double, p95 double, runs long, mean double, min double, max double, stddev double"
+    return spark.read.schema(f"query long, format string, {columns}").json(path)
 
 
 # --- streams ----------------------------------------------------------------
@@ -442,8 +516,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).parquet(target)
 
 
-def _staged_stream(spark: SparkSession, sf_dir: str, files: int | None) -> DataFrame:
-    path, schema = _landed_events(spark, adapter.imperial_raw(spark, sf_dir))
+def _staged_stream(spark: SparkSession, path: str, schema: T.StructType, files: int | None) -> DataFrame:
     raw = ingest.file_stream(spark, path, schema, files_per_batch=files)
     return staging.from_imperial(raw).withColumn(
         "observation_timestamp", F.col("observation_timestamp").cast("timestamp")
@@ -451,14 +524,28 @@ def _staged_stream(spark: SparkSession, sf_dir: str, files: int | None) -> DataF
 
 
 def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches in time order, which cut days in two; the first two are merged."""
+    raw = adapter.imperial_raw(spark, sf_dir)
     target, checkpoint = stage_path(spark, "daily"), stage_path(spark, "daily-checkpoint")
-    rollup.land_windowed(_staged_stream(spark, sf_dir, None), "2 days", target, checkpoint)
+    path = stage_path(spark, "landed-events")
+    cuts = [F.lit(t).cast("timestamp_ntz") for t in ("2024-01-09 07:00:00", "2024-01-21 13:00:00")]
+    number = sum((F.coalesce(F.col("observation_time") >= cut, F.lit(False)).cast("int") for cut in cuts), F.lit(0))
+    for batch in range(3):
+        raw.filter(number == batch).write.mode("append").parquet(path)
+        stream = _staged_stream(spark, path, raw.schema, None)
+        rollup.land_windowed(stream, "2 days", target, checkpoint)
+        if batch == 1:
+            rollup.merge_batches(spark, target, windowed=True)
     return _zoneless(rollup.read_windowed(spark, target), "observation_date")
 
 
 def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of two files in any order; they are merged, and a second run adds nothing."""
     target, checkpoint = stage_path(spark, "partials"), stage_path(spark, "partials-checkpoint")
-    stream = marts.with_time_parts(_staged_stream(spark, sf_dir, 2))
+    path, schema = _landed_events(spark, adapter.imperial_raw(spark, sf_dir))
+    stream = marts.with_time_parts(_staged_stream(spark, path, schema, 2))
+    rollup.land_partials(stream, target, checkpoint)
+    rollup.merge_batches(spark, target)
     rollup.land_partials(stream, target, checkpoint)
     return _zoneless(rollup.read_partials(spark, target), "observation_date")
 
@@ -476,25 +563,6 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zoneless(spark.read.schema(schema).parquet(target), "ts")
 
 
-# --- generator --------------------------------------------------------------
-
-
-def gen_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One generated observation per order, at the suppliers as stations."""
-    key = F.col("s_suppkey")
-    stations = table(spark, sf_dir, "supplier").select(
-        F.format_string("S%08d", key).alias("station_id"),
-        F.col("s_name").alias("station_name"),
-        (key % 90).cast("double").alias("lat"),
-        (-(key % 180)).cast("double").alias("lon"),
-        (key % 1700).cast("double").alias("elevation_m"),
-        (F.col("s_nationkey") + 5.0).alias("base_temp"),
-        (key % 13 + 6).cast("double").alias("temp_range"),
-    )
-    rows = table(spark, sf_dir, "orders").count()
-    return generate.generate_observations(spark, rows, stations=stations)
-
-
 QUERIES: dict[str, Query] = {
     "stg_observations": stg_observations,
     "fact_observations": _fact,
@@ -515,7 +583,7 @@ QUERIES: dict[str, Query] = {
     "rolling_avg_split": partial(rolling_avg, hot_rows=SPLIT_ROWS),
     "rolling_avg_stations": rolling_avg_stations,
     "monthly_percentiles": monthly_percentiles,
-    "monthly_percentiles_split": partial(monthly_percentiles, hot_rows=SPLIT_ROWS),
+    "monthly_percentiles_split": partial(_by_range_sort, monthly_percentiles, 5),
     "load_stats": load_stats,
     "latest_observations": latest_observations,
     "numbered_orders": numbered_orders,
@@ -524,11 +592,14 @@ QUERIES: dict[str, Query] = {
     "features_explode": features_explode,
     "flatten_observations": flatten_observations,
     "load_observations": load_observations,
+    "load_rejects": load_rejects,
     "station_pages": station_pages,
     "page_cursor": page_cursor,
     "url_key": url_key,
     "append_rows": append_rows,
     "overwrite_rows": overwrite_rows,
+    "overwrite_partitioned": overwrite_partitioned,
+    "replace_mart_schema": replace_mart_schema,
     "update_where": update_where,
     "delete_where": delete_where,
     "update_rows": update_rows,
@@ -544,7 +615,7 @@ QUERIES: dict[str, Query] = {
     "reconcile_counts": reconcile_counts,
     "schema_contract": schema_contract,
     "run_stats": run_stats,
-    "run_stats_split": partial(run_stats, hot_rows=20),
+    "run_stats_split": partial(_by_range_sort, run_stats, 15),
     "overhead_report": overhead_report,
     "mean_overhead": mean_overhead,
     "result_export": result_export,
@@ -552,5 +623,4 @@ QUERIES: dict[str, Query] = {
     "stream_daily": stream_daily,
     "stream_rollup": stream_rollup,
     "stream_dedup": stream_dedup,
-    "gen_observations": gen_observations,
 }

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 
-def _mean(expression: str, places: int = 2) -> str:
-    """Average through whole units, the exact form the library uses."""
-    factor = 10**places
-    total = f"SUM(CAST(ROUND(({expression}) * {factor}) AS BIGINT))"
-    return f"CAST({total} AS DOUBLE) / {factor} / COUNT({expression})"
+def _mean(expression: str, places: int | None = None) -> str:
+    """Average of the raw values; to 9 decimals first where it is rounded, for equal halves."""
+    mean = f"AVG({expression})"
+    return mean if places is None else f"ROUND(ROUND({mean}, 9), {places})"
 
 
 _K = "CAST(json_extract_string(props, '$.k') AS DOUBLE)"
@@ -18,9 +17,9 @@ _RAW = f"""raw AS (
          'L' || (user_id % 5) AS location,
          CASE WHEN event_id % 97 <> 0 THEN ts END AS observation_time,
          CASE WHEN event_id % 89 <> 0 THEN value END AS temperature_f,
-         {_K} AS humidity_pct,
+         {_K} + value / 7 AS humidity_pct,
          ROUND(value / 4, 2) AS wind_speed_mph,
-         1013.25 - {_K} / 4 AS pressure_mb,
+         1013.25 - value / 7 AS pressure_mb,
          event_type AS condition
   FROM events)"""
 
@@ -61,35 +60,36 @@ _CATEGORY = f"""CASE WHEN {_Z} > 2 THEN 'Extreme' WHEN {_Z} > 1 THEN 'Unusual' E
 
 _DAILY = f"""SELECT station_id, location, observation_date,
        COUNT(*) AS observation_count,
-       ROUND({_mean('"temperature_degC"')}, 2) AS "avg_temperature_degC",
+       {_mean('"temperature_degC"', 2)} AS "avg_temperature_degC",
        ROUND(MIN("temperature_degC"), 2) AS "min_temperature_degC",
        ROUND(MAX("temperature_degC"), 2) AS "max_temperature_degC",
-       ROUND({_mean("humidity_pct")}, 2) AS avg_humidity_pct,
-       ROUND({_mean("wind_speed_mps")}, 2) AS avg_wind_speed_mps,
+       {_mean("humidity_pct", 2)} AS avg_humidity_pct,
+       {_mean("wind_speed_mps", 2)} AS avg_wind_speed_mps,
        ROUND(MAX(wind_speed_mps), 2) AS max_wind_speed_mps,
-       ROUND({_mean("pressure_mb")}, 2) AS avg_pressure_mb
+       {_mean("pressure_mb", 2)} AS avg_pressure_mb
 FROM fact
 GROUP BY station_id, location, observation_date"""
 
 _EXTREME = f"""SELECT o.observation_id, o.observation_timestamp, o.station_id, o."temperature_degC",
-       s.avg_temp, ROUND(s.stddev_temp, 6) AS stddev_temp, ROUND({_Z}, 6) AS temp_z_score,
+       ROUND(s.avg_temp, 6) AS avg_temp, ROUND(s.stddev_temp, 6) AS stddev_temp, ROUND({_Z}, 6) AS temp_z_score,
        {_CATEGORY} AS temperature_category
 FROM fact o JOIN spread s ON o.station_id = s.station_id
 WHERE s.stddev_temp IS NOT NULL AND {_Z} > 1"""
 
-_ROLLING = """SELECT station_id, observation_timestamp, "temperature_degC", event_id,
-       CAST(SUM(CAST(ROUND("temperature_degC" * 100) AS BIGINT)) OVER w AS DOUBLE) / 100
-         / COUNT("temperature_degC") OVER w AS rolling_24h_avg
+_ROLLING = """SELECT station_id, observation_timestamp, humidity_pct, event_id,
+       ROUND(AVG(humidity_pct) OVER w, 6) AS rolling_24h_avg
 FROM staged {where}
 WINDOW w AS (PARTITION BY station_id ORDER BY observation_timestamp, event_id
              ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)"""
 
+_CHARGE = "(l_extendedprice * (1 - l_discount) * (1 + l_tax))"
+
 _MONTHLY = f"""SELECT l_suppkey, EXTRACT(MONTH FROM l_shipdate) AS month,
        COUNT(*) AS obs_count,
-       ROUND(PERCENTILE_CONT(0.5) WITHIN GROUP (ORDER BY l_quantity), 4) AS median_temp,
+       ROUND(PERCENTILE_CONT(0.5) WITHIN GROUP (ORDER BY {_CHARGE}), 4) AS median_temp,
        ROUND(PERCENTILE_CONT(0.95) WITHIN GROUP (ORDER BY l_extendedprice), 4) AS p95_wind,
        CAST(SUM(CASE WHEN l_tax > 0 THEN 1 ELSE 0 END) AS BIGINT) AS precip_hours,
-       {_mean("CASE WHEN l_discount > 0.05::DOUBLE THEN l_quantity END")} AS avg_temp_humid
+       {_mean(f"CASE WHEN l_discount > 0.05::DOUBLE THEN {_CHARGE} END", 4)} AS avg_temp_humid
 FROM lineitem
 GROUP BY l_suppkey, EXTRACT(MONTH FROM l_shipdate)"""
 
@@ -122,8 +122,7 @@ _LOADED = f"""SELECT ts AS observation_timestamp,
 FROM events"""
 
 _TIMINGS = """timings AS (
-  SELECT user_id AS query, event_type AS format, value AS time_ms
-  FROM events WHERE event_type IN ('click', 'view'))"""
+  SELECT user_id AS query, event_type AS format, value / 7 AS time_ms FROM events)"""
 
 _RUN_STATS = f"""{_TIMINGS}, ranked AS (
   SELECT query, format, time_ms,
@@ -133,7 +132,7 @@ _RUN_STATS = f"""{_TIMINGS}, ranked AS (
   SELECT query, format,
          COUNT(*) AS runs,
          MEDIAN(time_ms) AS median,
-         ROUND({_mean("time_ms")}, 2) AS mean,
+         {_mean("time_ms", 2)} AS mean,
          ROUND(MIN(time_ms), 2) AS min,
          ROUND(MAX(time_ms), 2) AS max,
          MAX(CASE WHEN place = LEAST(CAST(FLOOR(n * 0.95::DOUBLE) AS BIGINT), n - 1)
@@ -167,11 +166,16 @@ SELECT 'SU' || l_suppkey, l_returnflag, l_shipdate, ROUND(l_quantity, 2),
        ROUND(l_quantity / 3.6 / 0.44704, 2), ROUND(l_extendedprice / 100, 2), NULL
 FROM lineitem WHERE l_shipdate IS NOT NULL""",
     "build_marts": f"""WITH {_FACT}, {_SPREAD}, daily AS ({_DAILY}), extreme AS ({_EXTREME})
-SELECT 'stg_observations' AS model, COUNT(*) AS row_count FROM staged
-UNION ALL SELECT 'fact_observations', COUNT(*) FROM fact
-UNION ALL SELECT 'fact_daily_weather', COUNT(*) FROM daily
-UNION ALL SELECT 'dim_stations', COUNT(*) FROM (SELECT DISTINCT station_id, location FROM staged)
-UNION ALL SELECT 'extreme_weather_events', COUNT(*) FROM extreme""",
+SELECT 'stg_observations' AS model, station_id, observation_timestamp AS moment, event_id AS number,
+       "temperature_degC" AS reading FROM staged
+UNION ALL SELECT 'fact_observations', station_id, observation_timestamp, observation_id,
+       "temperature_degC" FROM fact
+UNION ALL SELECT 'fact_daily_weather', station_id, observation_date, observation_count,
+       avg_pressure_mb FROM daily
+UNION ALL SELECT 'dim_stations', station_id, MIN(observation_timestamp), COUNT(*), NULL
+FROM staged WHERE station_id IS NOT NULL GROUP BY station_id, location
+UNION ALL SELECT 'extreme_weather_events', station_id, observation_timestamp, observation_id,
+       temp_z_score FROM extreme""",
     "full_scan": "SELECT * FROM lineitem",
     "count_star": "SELECT COUNT(*) AS row_count FROM lineitem",
     "filtered_scan": """SELECT * FROM events
@@ -179,21 +183,21 @@ WHERE event_type = 'view' AND ts >= '2024-01-08' AND ts < '2024-01-15'""",
     "daily_aggregation": f"""SELECT l_suppkey,
        CAST(DATE_TRUNC('day', l_shipdate) AS TIMESTAMP) AS observation_date,
        COUNT(*) AS observation_count,
-       ROUND({_mean("l_extendedprice")}, 2) AS avg_temp,
-       ROUND(MIN(l_extendedprice), 2) AS min_temp,
-       ROUND(MAX(l_extendedprice), 2) AS max_temp,
-       ROUND({_mean("l_discount")}, 2) AS avg_humidity,
-       ROUND({_mean("l_quantity")}, 2) AS avg_wind,
+       {_mean(_CHARGE, 2)} AS avg_temp,
+       ROUND(MIN({_CHARGE}), 2) AS min_temp,
+       ROUND(MAX({_CHARGE}), 2) AS max_temp,
+       {_mean("l_discount", 2)} AS avg_humidity,
+       {_mean("l_quantity", 2)} AS avg_wind,
        ROUND(MAX(l_quantity), 2) AS max_wind,
-       ROUND({_mean("l_tax")}, 2) AS avg_pressure
+       {_mean("l_tax", 2)} AS avg_pressure
 FROM lineitem GROUP BY l_suppkey, DATE_TRUNC('day', l_shipdate)""",
     "anomaly_detection": f"""WITH {_STAGED}, {_SPREAD}
-SELECT o.event_id, o.observation_timestamp, o.station_id, o."temperature_degC", s.avg_temp,
-       ROUND(s.stddev_temp, 6) AS stddev_temp, ROUND({_Z}, 6) AS temp_z_score
+SELECT o.event_id, o.observation_timestamp, o.station_id, o."temperature_degC",
+       ROUND(s.avg_temp, 6) AS avg_temp, ROUND(s.stddev_temp, 6) AS stddev_temp, ROUND({_Z}, 6) AS temp_z_score
 FROM staged o JOIN spread s ON o.station_id = s.station_id WHERE {_Z} > 2""",
     "station_dimension": f"""SELECT c_custkey, c_name, c_nationkey,
        COUNT(*) AS total_observations, MIN(o_orderdate) AS first_observation,
-       MAX(o_orderdate) AS last_observation, {_mean("o_totalprice")} AS avg_temp
+       MAX(o_orderdate) AS last_observation, {_mean("o_totalprice / 7", 6)} AS avg_temp
 FROM orders JOIN customer ON o_custkey = c_custkey
 GROUP BY c_custkey, c_name, c_nationkey""",
     "rolling_avg": f"WITH {_STAGED} " + _ROLLING.format(where=""),
@@ -206,8 +210,8 @@ GROUP BY c_custkey, c_name, c_nationkey""",
 SELECT COUNT(DISTINCT station_id) AS unique_stations,
        MIN(observation_timestamp) AS earliest_observation,
        MAX(observation_timestamp) AS latest_observation, COUNT(*) AS row_count,
-       {_mean('"temperature_degC"')} AS "avg_temp_degC",
-       MIN("temperature_degC") AS "min_temp_degC", MAX("temperature_degC") AS "max_temp_degC"
+       {_mean("humidity_pct", 6)} AS "avg_temp_degC",
+       MIN(humidity_pct) AS "min_temp_degC", MAX(humidity_pct) AS "max_temp_degC"
 FROM staged""",
     "latest_observations": f"""WITH {_STAGED}
 SELECT observation_timestamp, station_id, "temperature_degC", wind_speed_mps, humidity_pct
@@ -220,6 +224,16 @@ FROM staged ORDER BY observation_timestamp DESC, event_id LIMIT 5""",
        'ST' || user_id AS station_id, value AS temperature FROM events""",
     "flatten_observations": _LOADED,
     "load_observations": _LOADED,
+    "load_rejects": """WITH landed AS (
+  SELECT user_id % 50 = 0 AS broken, event_id % 97 = 0 AS homeless, event_type = 'error' AS unread,
+         user_id, event_id // 500 AS page FROM events)
+SELECT 'unreadable document' AS reason, COUNT(*) AS row_count
+FROM (SELECT DISTINCT user_id, page FROM landed WHERE broken) HAVING COUNT(*) > 0
+UNION ALL
+SELECT CASE WHEN homeless AND unread THEN 'station_id is missing; temperature_degC is no double'
+            WHEN homeless THEN 'station_id is missing'
+            WHEN unread THEN 'temperature_degC is no double' ELSE 'loaded' END, COUNT(*)
+FROM landed WHERE NOT broken GROUP BY 1""",
     "station_pages": """SELECT url AS station_url,
        CASE WHEN contains(url, 'page=') THEN url END AS next_page FROM pages""",
     "page_cursor": """SELECT DISTINCT url AS next_page, split_part(url, 'page=', -1) AS cursor
@@ -227,6 +241,10 @@ FROM pages WHERE contains(url, 'page=')""",
     "url_key": "SELECT page_id, url, split_part(url, '/', -1) AS station_id FROM pages",
     "append_rows": "SELECT * FROM orders",
     "overwrite_rows": "SELECT * FROM orders WHERE o_totalprice > 100000",
+    "overwrite_partitioned": """SELECT *, CAST(ts AS DATE) AS day FROM events
+WHERE CAST(ts AS DATE) > '2024-01-10' AND value > 20""",
+    "replace_mart_schema": """SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+       o_totalprice, o_orderdate, o_orderpriority, o_orderpriority = '1-URGENT' AS urgent FROM orders""",
     "update_where": """SELECT o_orderkey, o_custkey,
        CASE WHEN o_orderpriority = '1-URGENT' THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
        CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice * 2 ELSE o_totalprice END
@@ -267,9 +285,9 @@ FULL JOIN (SELECT o_orderkey AS k, COUNT(*) AS n FROM orders GROUP BY 1) o ON l.
             THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k,
        event_type, event_type <> 'error' AS accepted FROM events""",
     "run_stats": f"""WITH {_RUN_STATS}
-SELECT * REPLACE (ROUND(median, 4) AS median) FROM stats""",
+SELECT * REPLACE (ROUND(median, 4) AS median, ROUND(p95, 4) AS p95) FROM stats""",
     "run_stats_split": f"""WITH {_RUN_STATS}
-SELECT * REPLACE (ROUND(median, 4) AS median) FROM stats""",
+SELECT * REPLACE (ROUND(median, 4) AS median, ROUND(p95, 4) AS p95) FROM stats""",
     "overhead_report": f"""WITH {_REPORT}
 SELECT query, ROUND(base_median, 4) AS base_median, ROUND(other_median, 4) AS other_median,
        overhead_pct,
@@ -278,9 +296,10 @@ SELECT query, ROUND(base_median, 4) AS base_median, ROUND(other_median, 4) AS ot
             WHEN overhead_pct IS NOT NULL THEN 'Significant overhead' END AS verdict
 FROM report""",
     "mean_overhead": f"""WITH {_REPORT}
-SELECT COUNT(overhead_pct) AS queries, ROUND({_mean("overhead_pct", 1)}, 1) AS avg_overhead
+SELECT COUNT(overhead_pct) AS queries, {_mean("overhead_pct", 1)} AS avg_overhead
 FROM report""",
-    "result_export": f"WITH {_RUN_STATS} SELECT query, format, runs, max FROM stats",
+    "result_export": f"""WITH {_RUN_STATS}
+SELECT * REPLACE (ROUND(median, 4) AS median, ROUND(p95, 4) AS p95) FROM stats""",
     "stream_ingest": "SELECT * FROM events",
     "stream_daily": f"WITH {_FACT} {_DAILY}",
     "stream_rollup": f"WITH {_FACT} {_DAILY}",

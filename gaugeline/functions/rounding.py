@@ -1,4 +1,4 @@
-"""Rounding and order-independent sums on doubles, in plain double and long arithmetic.
+"""Rounding and order-independent averages of doubles, in plain double arithmetic.
 
 ``F.round`` on a double and a cast to decimal both go through a decimal string
 for every row, more than ten times the cost of the arithmetic below, and
@@ -28,31 +28,49 @@ def round_to(value: Column, places: int = 0) -> Column:
     return F.when(F.abs(scaled) < _WHOLE, rounded / float(10**places)).otherwise(value)
 
 
-def scaled_long(value: Column, places: int = 2) -> Column:
-    """``value`` in whole units of ``10 ** -places`` as a bigint; NaN becomes NULL.
+# Decimals an average is rounded to before it is rounded for good.
+_AVERAGE_PLACES = 9
 
-    For values with at most ``places`` decimals, which sit next to a whole number
-    once scaled; beyond the range of a bigint ANSI mode raises.
+
+def round_average(average: Column, places: int) -> Column:
+    """An average to ``places`` decimals, halves away from zero as in decimal arithmetic.
+
+    The mean of 19.24 and 19.25 may come out as 19.244999999999997 or 19.245,
+    depending on the order of a sum; rounding to 9 decimals first makes both a half.
+    """
+    return round_to(round_to(average, _AVERAGE_PLACES), places)
+
+
+# Adding and subtracting it rounds a double to a multiple of 2**-10.
+_GRID = 1.5 * 2.0**42
+
+
+def coarse_part(value: Column) -> Column:
+    """``value`` rounded to a multiple of 2**-10, which sums of doubles hold without loss.
+
+    Values from 2**43 on keep what a sum next to the grid leaves of them.
     """
-    return F.rint(F.nanvl(value, F.lit(None)) * float(10**places)).cast("bigint")
+    return (value + _GRID) - _GRID
 
 
-def _average(total: Column, count: Column, places: int) -> Column:
-    return total.cast("double") / float(10**places) / count
+def fine_part(value: Column) -> Column:
+    """The rest of ``value``, exact; 0 for infinity and NaN, which the coarse part carries."""
+    coarse = coarse_part(value)
+    return F.when(coarse == value, 0.0).otherwise(value - coarse)
 
 
-def exact_avg(value: Column, places: int = 2) -> Column:
-    """Average of values with at most ``places`` decimals.
+def steady_avg(value: Column) -> Column:
+    """``AVG`` in full precision whose bits do not depend on the order of the rows.
 
-    A double sum depends on the order in which partial results meet; whole units
-    in a long do not, so reruns and other engines give the same bits. The sum
-    holds for rows x |value| x 10^places below 9.2e18; ANSI mode raises beyond.
+    A double sum depends on the order in which partial results meet. The coarse
+    parts add up without rounding while their sum stays below 2**43, and what
+    rounding the fine parts suffer is far below the last bit of the result.
+    Beyond that, as for infinity and NaN, it is a plain double sum.
     """
-    units = scaled_long(value, places)
-    return _average(F.sum(units), F.count(units), places)
+    return (F.sum(coarse_part(value)) + F.sum(fine_part(value))) / F.count(value)
 
 
-def exact_avg_over(value: Column, window, places: int = 2) -> Column:
-    """``exact_avg`` as a window expression."""
-    units = scaled_long(value, places)
-    return _average(F.sum(units).over(window), F.count(units).over(window), places)
+def steady_avg_over(value: Column, window) -> Column:
+    """``steady_avg`` as a window expression."""
+    total = F.sum(coarse_part(value)).over(window) + F.sum(fine_part(value)).over(window)
+    return total / F.count(value).over(window)

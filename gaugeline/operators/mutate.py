@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugeline.operators.skew import null_safe_join
+
 
 def update_where(df: DataFrame, assignments: dict[str, Column], predicate: Column) -> DataFrame:
     """SQL UPDATE: every right-hand side sees the old row; a NULL predicate changes nothing."""
@@ -27,5 +29,5 @@ def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
 
 
 def not_yet_landed(incoming: DataFrame, landed: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key has not been landed before."""
-    return incoming.join(landed.select(*keys).distinct(), keys, "left_anti")
+    """Rows whose key has not been landed before; a NULL in a key equals another one."""
+    return null_safe_join(incoming, landed.select(*keys).distinct(), keys, "left_anti")

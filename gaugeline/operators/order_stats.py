@@ -1,10 +1,10 @@
 """Exact percentiles and other order statistics per group.
 
-Spark's ``percentile`` merges a value-to-count map per group in one task, which is
-the fastest way for groups of ordinary size: readings have few decimals and
-repeat, so the map side combines most rows away. Groups above ``hot_rows`` rows
-become rows of distinct values with counts instead; those that still hold more
-than ``hot_rows`` distinct values are placed by a range sort over all tasks.
+The values of a group are counted first, so equal readings are one row, and
+placed by a running sum of their counts. That is a window per group and measure,
+which sorts and spills like any other; a group of more than ``WINDOW_VALUES``
+distinct values is placed by a range sort over all tasks instead. Both place a
+value alike, so the switch changes the plan and never the result.
 """
 
 from __future__ import annotations
@@ -17,25 +17,24 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gaugeline.operators.ordering import running_total
-from gaugeline.operators.skew import HOT_ROWS, null_safe_join, split_hot
+from gaugeline.operators.skew import null_safe_join, split_hot
 from gaugeline.operators.stage import stage
 
+# Distinct values of one group that a window sorts in one task.
+WINDOW_VALUES = 4_000_000
+
 
 @dataclass(frozen=True)
 class OrderStat:
-    """A value read at ``place(n)``, a 0-based fractional position among n sorted values.
-
-    ``builtin`` is Spark's own aggregate for it, where there is one.
-    """
+    """A value read at ``place(n)``, a 0-based fractional position among n sorted values."""
 
     column: str
     place: Callable[[Column], Column]
-    builtin: Column | None = None
 
 
 def percentile_cont(column: str, p: float) -> OrderStat:
     """Interpolated percentile."""
-    return OrderStat(column, lambda n: (n - 1) * p, F.percentile(column, p))
+    return OrderStat(column, lambda n: (n - 1) * p)
 
 
 def nearest_rank(column: str, p: float) -> OrderStat:
@@ -44,54 +43,12 @@ def nearest_rank(column: str, p: float) -> OrderStat:
 
 
 def grouped_order_stats(
-    df: DataFrame,
-    keys: list[str],
-    stats: dict[str, OrderStat],
-    aggregates: list[Column],
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, keys: list[str], stats: dict[str, OrderStat], aggregates: list[Column]
 ) -> DataFrame:
     """One row per group: ``keys``, ``aggregates`` and the named order statistics.
 
-    NULLs are ignored; a group without values yields NULL.
+    NULLs are ignored; a group without values yields NULL. NaN is the largest value.
     """
-    cold, hot = split_hot(df, keys, hot_rows)
-    result = _by_group(cold, keys, stats, aggregates)
-    if hot is None:
-        return result
-    return result.unionByName(_by_counted_values(hot, keys, stats, aggregates, hot_rows))
-
-
-def _by_group(
-    df: DataFrame, keys: list[str], stats: dict[str, OrderStat], aggregates: list[Column]
-) -> DataFrame:
-    sorted_columns = {stat.column for stat in stats.values() if stat.builtin is None}
-    for column in sorted(sorted_columns):
-        ordered = W.partitionBy(*keys).orderBy(F.col(column).asc_nulls_last())
-        whole = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-        df = df.withColumns(
-            {
-                f"_at_{column}": F.row_number().over(ordered) - 1,
-                f"_n_{column}": F.count(column).over(whole),
-            }
-        )
-
-    def pick(stat: OrderStat, position: Column) -> Column:
-        return F.max(F.when(F.col(f"_at_{stat.column}") == position, F.col(stat.column)))
-
-    built = {name: stat for name, stat in stats.items() if stat.builtin is not None}
-    picked = {name: stat for name, stat in stats.items() if stat.builtin is None}
-    direct = [stat.builtin.alias(name) for name, stat in built.items()]
-    picks = _picks(picked, pick, lambda stat: F.col(f"_n_{stat.column}"))
-    return _interpolated(df.groupBy(*keys).agg(*aggregates, *direct, *picks), picked)
-
-
-def _by_counted_values(
-    df: DataFrame,
-    keys: list[str],
-    stats: dict[str, OrderStat],
-    aggregates: list[Column],
-    hot_rows: int,
-) -> DataFrame:
     columns = list(dict.fromkeys(stat.column for stat in stats.values()))
     measured = df.select(*keys, *(F.col(column).cast("double") for column in columns))
     counted = (
@@ -101,7 +58,7 @@ def _by_counted_values(
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
     group = [*keys, "_measure"]
-    cold, hot = split_hot(stage(counted, "counted-values"), group, hot_rows)
+    cold, hot = split_hot(stage(counted, "counted-values"), group, WINDOW_VALUES)
     placed = _placed_by_window(cold, group)
     if hot is not None:
         placed = placed.unionByName(_placed_by_range_sort(hot, group))
@@ -162,6 +119,8 @@ def _interpolated(df: DataFrame, stats: dict[str, OrderStat]) -> DataFrame:
     for name in stats:
         low, high, place = (F.col(f"_{part}_{name}") for part in ("low", "high", "place"))
         share = place - F.floor(place)
-        df = df.withColumn(name, low * (F.lit(1.0) - share) + high * share)
+        # A place on an element takes it as it is: infinity times zero would be NaN.
+        between = F.when(share > 0, low * (F.lit(1.0) - share) + high * share).otherwise(low)
+        df = df.withColumn(name, between)
         df = df.drop(f"_low_{name}", f"_high_{name}", f"_place_{name}")
     return df

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -10,11 +13,13 @@ from gaugeline.functions.timeparts import epoch_seconds
 from gaugeline.operators.skew import HOT_ROWS, group_counts, null_safe_join, split_hot
 from gaugeline.operators.stage import stage
 
-# Rows per task of a range sort.
+# Rows per task of a range sort, and the most tasks: beyond, they sort more and spill.
 SORT_ROWS = 2_000_000
+SORT_TASKS = 20_000
 
-# Rows per time slot that numbering aims at.
+# Rows per time slot that numbering aims at, and the fewest and most slots.
 SLOT_ROWS = 1_000_000
+SLOTS = (64, 10_000)
 
 # monotonically_increasing_id keeps the partition above and the row below this bit.
 _ROW_BITS = 33
@@ -38,7 +43,7 @@ def _sorted_stage(df: DataFrame, order: list[str]) -> DataFrame:
     tied = stage(df.withColumn("_tie", F.monotonically_increasing_id()), "unsorted")
     sort_keys = ascending([*order, "_tie"])
     ordered = (
-        tied.repartitionByRange(tied.count() // SORT_ROWS + 1, *sort_keys)
+        tied.repartitionByRange(min(tied.count() // SORT_ROWS + 1, SORT_TASKS), *sort_keys)
         .sortWithinPartitions(*sort_keys)
         .drop("_tie")
         .withColumn("_id", F.monotonically_increasing_id())
@@ -55,8 +60,8 @@ def _sorted_stage(df: DataFrame, order: list[str]) -> DataFrame:
 def _with_offsets(staged: DataFrame, weight: Column) -> DataFrame:
     """Add ``_before``: the weight held by all earlier sort partitions.
 
-    The offsets have one row per sort partition, which bounds both the ordered
-    window over them and the broadcast.
+    The offsets have one row per sort partition, at most ``SORT_TASKS``, which bounds
+    both the ordered window over them and the broadcast.
     """
     sizes = staged.groupBy("_part").agg(F.sum(weight).alias("_size"))
     earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
@@ -100,17 +105,21 @@ def rank_hot(df: DataFrame, keys: list[str], order: list[str], name: str) -> Dat
     )
 
 
-def _time_slots(df: DataFrame, ts: str) -> Column:
-    """Number of the time slot a row falls into, at about ``SLOT_ROWS`` rows per slot.
+def _with_slots(df: DataFrame, ts: str) -> DataFrame:
+    """Add ``_slot``, the number of the time slot a row falls into; NULL times come last.
 
-    One pass over the time column gives the span and the number of rows. Small
-    tables get a thousand slots, to keep all tasks busy.
+    Slots hold about equally many rows, whatever the times are: their edges are
+    quantiles from a sketch, at most ``SLOTS[1]`` numbers. Rows of one second
+    share a slot.
     """
-    seconds = epoch_seconds(df, ts)
-    rows, first, last = df.agg(F.count(seconds), F.min(seconds), F.max(seconds)).first()
-    slots = max(rows // SLOT_ROWS, 1_000)
-    width = max((last - first) // slots, 1) if rows else 1
-    return F.floor(seconds / width)
+    seconds = df.withColumn("_seconds", epoch_seconds(df, ts).cast("double"))
+    rows = seconds.count()
+    slots = min(max(rows // SLOT_ROWS, SLOTS[0]), SLOTS[1])
+    shares = [i / slots for i in range(1, slots)]
+    edges = seconds.agg(F.percentile_approx("_seconds", shares, 10 * slots)).first()[0]
+    splits = [-math.inf, *sorted(set(edges or [0.0])), math.inf]
+    placed = Bucketizer(splits=splits, inputCol="_seconds", outputCol="_slot", handleInvalid="keep")
+    return placed.transform(seconds).drop("_seconds")
 
 
 def number_rows(
@@ -123,12 +132,12 @@ def number_rows(
     """Dense 1..n numbers in (``ts``, ``tie``) order, NULL times last.
 
     Rows are numbered within their time slot and shifted by the number of rows in
-    earlier slots. Only the counts per slot, of which there is one per
-    ``SLOT_ROWS`` rows, meet in one partition. Slots that come out above
-    ``hot_rows`` rows, such as one crowded instant, are numbered by a range sort.
+    earlier slots. Only the counts per slot, at most ``SLOTS[1]``, meet in one
+    partition. Slots that come out above ``hot_rows`` rows, such as one crowded
+    instant, are numbered by a range sort.
     """
     order = [ts, *tie]
-    slotted = df.withColumn("_slot", _time_slots(df, ts))
+    slotted = _with_slots(df, ts)
     counts = group_counts(slotted, ["_slot"])
     earlier = W.orderBy(F.col("_slot").asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select(

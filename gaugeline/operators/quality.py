@@ -42,6 +42,35 @@ def split_required(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, Data
     return df.filter(~missing), df.filter(missing)
 
 
+def split_contract(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows that satisfy ``schema``, rejects) of ``df``.
+
+    Rejects have the reasons, of every column at fault, and the row as JSON text. A
+    row is at fault if a required value is missing or any value does not convert,
+    in an optional column too. Every row is on exactly one side.
+    """
+    absent = [field.name for field in schema if field.name not in df.columns]
+    if absent:
+        raise ValueError(f"columns missing from input: {absent}")
+
+    def fault(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        fitted = value.try_cast(field.dataType)
+        unread = F.when(
+            value.isNotNull() & fitted.isNull(), F.lit(f"{field.name} is no {field.dataType.simpleString()}")
+        )
+        if field.nullable:
+            return unread
+        return F.when(value.isNull(), F.lit(f"{field.name} is missing")).otherwise(unread)
+
+    faults = F.filter(F.array(*map(fault, schema)), lambda f: f.isNotNull())
+    marked = df.withColumn("_faults", faults)
+    good = apply_contract(marked.filter(F.size("_faults") == 0), schema)
+    bad = marked.filter(F.size("_faults") > 0)
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    return good, bad.select(F.array_join("_faults", "; ").alias("reason"), record.alias("record"))
+
+
 def not_null_violations(df: DataFrame, names: list[str]) -> DataFrame:
     """Column name and number of NULLs for each of ``names``, in one pass."""
     counts = df.agg(*(F.count_if(F.col(name).isNull()).alias(name) for name in names))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gaugeline.functions.rounding import exact_avg_over
+from gaugeline.functions.rounding import steady_avg_over
 from gaugeline.operators.ordering import ascending, rank_hot
 from gaugeline.operators.skew import split_hot
 
@@ -21,7 +21,6 @@ def rolling_average(
     value: str,
     name: str,
     rows: int = 24,
-    places: int = 2,
     hot_rows: int = SERIES_ROWS,
 ) -> DataFrame:
     """Average of ``value`` over the current and the ``rows - 1`` earlier rows of its series.
@@ -32,10 +31,10 @@ def rolling_average(
     """
     cold, hot = split_hot(df, [key], hot_rows)
     window = W.partitionBy(key).orderBy(*ascending(order)).rowsBetween(1 - rows, 0)
-    result = cold.withColumn(name, exact_avg_over(F.col(value), window, places))
+    result = cold.withColumn(name, steady_avg_over(F.col(value), window))
     if hot is None:
         return result
-    return result.unionByName(_blockwise(hot, key, order, value, name, rows, places, hot_rows))
+    return result.unionByName(_blockwise(hot, key, order, value, name, rows, hot_rows))
 
 
 def _blockwise(
@@ -45,7 +44,6 @@ def _blockwise(
     value: str,
     name: str,
     rows: int,
-    places: int,
     hot_rows: int,
 ) -> DataFrame:
     size = max(hot_rows, rows)
@@ -59,7 +57,7 @@ def _blockwise(
     spread = ranked.withColumn("_block", F.explode(F.coalesce(lead_in, F.array("_home"))))
     window = W.partitionBy(key, "_block").orderBy("_rank").rowsBetween(1 - rows, 0)
     return (
-        spread.withColumn(name, exact_avg_over(F.col(value), window, places))
+        spread.withColumn(name, steady_avg_over(F.col(value), window))
         .filter(F.col("_block") == F.col("_home"))
         .drop("_rank", "_home", "_from_end", "_block")
     )

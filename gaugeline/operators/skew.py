@@ -28,8 +28,8 @@ def split_hot(
 ) -> tuple[DataFrame, DataFrame | None]:
     """``df`` as (rows of ordinary groups, rows of groups above ``hot_rows`` or None).
 
-    A table of at most ``hot_rows`` rows has no hot group, which the row count
-    settles from file footers. Otherwise one pre-aggregated pass over the keys
+    A table of at most ``hot_rows`` rows has no hot group, which a row count settles:
+    from file footers for a staged table, by a pass over it for any other. Otherwise one pre-aggregated pass over the keys
     finds them; there are at most rows / ``hot_rows`` of them. The joins that
     separate them keep a third of the table in one key spread as it was read,
     because the list is small enough to broadcast.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.functions.rounding import exact_avg
+from gaugeline.functions.rounding import steady_avg
 from gaugeline.operators.stage import settle
 
 # Fixed values.
@@ -14,16 +14,16 @@ UNUSUAL_ABOVE = 1.0
 CATEGORIES = ["Normal", "Unusual", "Extreme"]
 
 
-def group_spread(df: DataFrame, key: str, value: str, places: int = 2) -> DataFrame:
+def group_spread(df: DataFrame, key: str, value: str) -> DataFrame:
     """Mean and sample deviation per group; the deviation of a single row is NULL."""
     return df.groupBy(key).agg(
-        exact_avg(F.col(value), places).alias("avg_temp"),
+        steady_avg(F.col(value)).alias("avg_temp"),
         F.stddev_samp(value).alias("stddev_temp"),
     )
 
 
 def with_zscore(
-    df: DataFrame, key: str, value: str, spread: DataFrame | None = None, places: int = 2
+    df: DataFrame, key: str, value: str, spread: DataFrame | None = None
 ) -> DataFrame:
     """Add ``avg_temp``, ``stddev_temp`` and ``temp_z_score``.
 
@@ -31,7 +31,7 @@ def with_zscore(
     table is settled before the join, so rows are shuffled only if the groups
     outgrow a broadcast. Rows with a NULL key have no group and drop out.
     """
-    spread = spread if spread is not None else group_spread(df, key, value, places)
+    spread = spread if spread is not None else group_spread(df, key, value)
     distance = F.abs(F.col(value) - F.col("avg_temp"))
     return df.join(settle(spread, "group-spread"), key).withColumn(
         "temp_z_score", distance / F.nullif(F.col("stddev_temp"), F.lit(0.0))

@@ -6,15 +6,15 @@ query runs on any table with a key, a time and measures.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.functions.rounding import exact_avg, round_to
+from gaugeline.functions.rounding import steady_avg
 from gaugeline.functions.timeparts import day_start, hour_of, moment, month_of
 from gaugeline.operators.order_stats import grouped_order_stats, percentile_cont
 from gaugeline.operators.rolling import SERIES_ROWS, rolling_average
-from gaugeline.operators.skew import HOT_ROWS
 from gaugeline.operators.zscore import EXTREME_ABOVE, with_zscore
+from gaugeline.plans.daily import Rollup, rolled_up
 
 STATION = "station_id"
 TIME = "observation_timestamp"
@@ -26,7 +26,7 @@ def full_scan(df: DataFrame) -> DataFrame:
 
 
 def count_rows(df: DataFrame) -> DataFrame:
-    """Row count; over Parquet it reads file footers only."""
+    """Row count; of a table from ``landed.read_footers`` it comes from file footers alone."""
     return df.agg(F.count(F.lit(1)).alias("row_count"))
 
 
@@ -51,20 +51,21 @@ def daily_aggregation(
     pressure: str = "barometric_pressure_Pa",
 ) -> DataFrame:
     """Eight aggregates per key and day."""
-
-    def mean(name: str) -> Column:
-        return round_to(exact_avg(F.col(name)), 2)
-
-    return df.groupBy(key, day_start(df, time).alias("observation_date")).agg(
-        F.count(F.lit(1)).alias("observation_count"),
-        mean(temperature).alias("avg_temp"),
-        round_to(F.min(temperature), 2).alias("min_temp"),
-        round_to(F.max(temperature), 2).alias("max_temp"),
-        mean(humidity).alias("avg_humidity"),
-        mean(wind).alias("avg_wind"),
-        round_to(F.max(wind), 2).alias("max_wind"),
-        mean(pressure).alias("avg_pressure"),
+    rollup = Rollup(
+        (
+            ("avg_temp", temperature, F.avg),
+            ("min_temp", temperature, F.min),
+            ("max_temp", temperature, F.max),
+            ("avg_humidity", humidity, F.avg),
+            ("avg_wind", wind, F.avg),
+            ("max_wind", wind, F.max),
+            ("avg_pressure", pressure, F.avg),
+        )
+    )
+    dated = df.select(
+        key, day_start(df, time).alias("observation_date"), *dict.fromkeys([temperature, humidity, wind, pressure])
     )
+    return rolled_up(dated, [key, "observation_date"], rollup)
 
 
 def anomaly_detection(
@@ -94,7 +95,7 @@ def station_dimension(
         F.count(F.lit(1)).alias("total_observations"),
         F.min(time).alias("first_observation"),
         F.max(time).alias("last_observation"),
-        exact_avg(F.col(value)).alias("avg_temp"),
+        steady_avg(F.col(value)).alias("avg_temp"),
     )
 
 
@@ -125,7 +126,6 @@ def monthly_percentiles(
     humidity: str = "relative_humidity_percent",
     rain_above: float = 0.0,
     humid_above: float = 80.0,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Percentiles, conditional count and conditional mean per key and calendar month."""
     rows = df.select(
@@ -143,9 +143,8 @@ def monthly_percentiles(
         [
             F.count(F.lit(1)).alias("obs_count"),
             F.sum(F.when(rainy, 1).otherwise(0)).alias("precip_hours"),
-            exact_avg(F.when(humid, F.col(temperature))).alias("avg_temp_humid"),
+            steady_avg(F.when(humid, F.col(temperature))).alias("avg_temp_humid"),
         ],
-        hot_rows,
     )
 
 
@@ -166,7 +165,7 @@ def load_stats(
         F.min(time).alias("earliest_observation"),
         F.max(time).alias("latest_observation"),
         F.count(F.lit(1)).alias("row_count"),
-        exact_avg(F.col(value)).alias("avg_temp_degC"),
+        steady_avg(F.col(value)).alias("avg_temp_degC"),
         F.min(value).alias("min_temp_degC"),
         F.max(value).alias("max_temp_degC"),
     )

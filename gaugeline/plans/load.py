@@ -5,20 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.operators.quality import apply_contract, split_required
+from gaugeline.operators.quality import split_contract
 from gaugeline.schemas import MEASURES, METRIC_RAW
+from gaugeline.sources.landed import explode_features, unreadable_documents
 
 
 def flatten_observations(features: DataFrame) -> DataFrame:
-    """One 22-column row per ``observation`` struct; a missing field is NULL."""
+    """One 22-column row per ``observation`` struct; a missing field is NULL.
+
+    Time and readings are the landed text, for the contract to cast.
+    """
     source = F.col("observation")
     properties = source["properties"]
 
     def reading(name: str) -> Column:
-        return properties[name]["value"].cast("double")
+        return properties[name]["value"]
 
     return features.select(
-        properties["timestamp"].try_cast("timestamp").alias("observation_timestamp"),
+        properties["timestamp"].alias("observation_timestamp"),
         source["id"].alias("observation_id"),
         source["type"].alias("observation_type"),
         source["geometry"]["type"].alias("geometry_type"),
@@ -35,6 +39,12 @@ def json_field(document: Column, path: str) -> Column:
     return F.get_json_object(document, f"$.{path}")
 
 
-def load_observations(features: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows that satisfy the table's schema, rows set aside for a missing required column)."""
-    return split_required(apply_contract(flatten_observations(features), METRIC_RAW), METRIC_RAW)
+def load_observations(collections: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that satisfy the table's schema, rejects) of landed documents.
+
+    Rejects are unreadable documents, rows without a required value and rows with a
+    value that does not convert, each with its reason and its text.
+    """
+    rows = flatten_observations(explode_features(collections))
+    good, rejects = split_contract(rows, METRIC_RAW)
+    return good, rejects.unionByName(unreadable_documents(collections))

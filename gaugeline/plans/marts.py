@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.functions.rounding import exact_avg, round_to
 from gaugeline.functions.timeparts import day_of_week, day_start, hour_of
 from gaugeline.operators.ordering import number_rows
 from gaugeline.operators.skew import HOT_ROWS
 from gaugeline.operators.zscore import UNUSUAL_ABOVE, category, with_zscore
+from gaugeline.plans.daily import Rollup, rolled_up
 from gaugeline.plans.staging import STAGED_COLUMNS
 
 TIE_BREAKERS = [name for name in STAGED_COLUMNS if name != "observation_timestamp"]
@@ -49,22 +49,24 @@ def fact_observations(
     )
 
 
+# The columns of the daily model.
+DAILY_KEYS = ["station_id", "location", "observation_date"]
+DAILY = Rollup(
+    (
+        ("avg_temperature_degC", "temperature_degC", F.avg),
+        ("min_temperature_degC", "temperature_degC", F.min),
+        ("max_temperature_degC", "temperature_degC", F.max),
+        ("avg_humidity_pct", "humidity_pct", F.avg),
+        ("avg_wind_speed_mps", "wind_speed_mps", F.avg),
+        ("max_wind_speed_mps", "wind_speed_mps", F.max),
+        ("avg_pressure_mb", "pressure_mb", F.avg),
+    )
+)
+
+
 def daily_weather(observations: DataFrame) -> DataFrame:
     """Station-day rollup of a fact table, or of ``with_time_parts`` rows: no id is needed."""
-
-    def mean(name: str, places: int = 2) -> Column:
-        return round_to(exact_avg(F.col(name), places), 2)
-
-    return observations.groupBy("station_id", "location", "observation_date").agg(
-        F.count(F.lit(1)).alias("observation_count"),
-        mean("temperature_degC").alias("avg_temperature_degC"),
-        round_to(F.min("temperature_degC"), 2).alias("min_temperature_degC"),
-        round_to(F.max("temperature_degC"), 2).alias("max_temperature_degC"),
-        mean("humidity_pct").alias("avg_humidity_pct"),
-        mean("wind_speed_mps").alias("avg_wind_speed_mps"),
-        round_to(F.max("wind_speed_mps"), 2).alias("max_wind_speed_mps"),
-        mean("pressure_mb").alias("avg_pressure_mb"),
-    )
+    return rolled_up(observations, DAILY_KEYS, DAILY)
 
 
 def station_dimension(staged: DataFrame) -> DataFrame:

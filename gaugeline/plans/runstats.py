@@ -5,21 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.functions.rounding import exact_avg, round_to
+from gaugeline.functions.rounding import round_average, round_to, steady_avg
 from gaugeline.operators.order_stats import grouped_order_stats, nearest_rank, percentile_cont
-from gaugeline.operators.skew import HOT_ROWS
 
 
 def run_stats(
     timings: DataFrame,
     keys: tuple[str, ...] = ("query", "format"),
     time: str = "time_ms",
-    places: int = 2,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Median, mean, min, max, 95th percentile by rank, and sample deviation per run group.
 
     With few runs the 95th percentile is the maximum. A single run deviates by 0.
+    Rounding is half away from zero on the scaled double, as in SQL engines, not
+    on the decimal text that Python's ``round`` goes by.
     """
     timed = timings.select(*keys, time).filter(F.col(time).isNotNull())
     deviation = round_to(F.coalesce(F.stddev_samp(time), F.lit(0.0)), 2)
@@ -29,12 +28,11 @@ def run_stats(
         {"median": percentile_cont(time, 0.5), "p95": nearest_rank(time, 0.95)},
         [
             F.count(F.lit(1)).alias("runs"),
-            round_to(exact_avg(F.col(time), places), 2).alias("mean"),
+            round_average(steady_avg(F.col(time)), 2).alias("mean"),
             round_to(F.min(time), 2).alias("min"),
             round_to(F.max(time), 2).alias("max"),
             deviation.alias("stddev"),
         ],
-        hot_rows,
     )
 
 
@@ -44,6 +42,7 @@ def overhead_pct(base: Column, other: Column) -> Column:
 
 
 def verdict(overhead: Column, name: Column) -> Column:
+    """The bands of the comparison and their texts."""
     return (
         F.when(overhead < -5, F.concat(name, F.lit(" FASTER")))
         .when(overhead < 5, "~Same")
@@ -74,7 +73,7 @@ def mean_overhead(report: DataFrame) -> DataFrame:
     """Average overhead over all compared queries, to one decimal."""
     return report.agg(
         F.count("overhead_pct").alias("queries"),
-        round_to(exact_avg(F.col("overhead_pct"), 1), 1).alias("avg_overhead"),
+        round_average(steady_avg(F.col("overhead_pct")), 1).alias("avg_overhead"),
     )
 
 

@@ -49,6 +49,36 @@ def from_imperial(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+def imperial_view(raw: str, keep: tuple[str, ...] = ()) -> str:
+    """The SQL of ``from_imperial`` over the table ``raw``, with the time of the query, for a view."""
+
+    def number(name: str) -> str:
+        return f"nanvl({name}, CAST(NULL AS DOUBLE))"
+
+    def rounded(value: str) -> str:
+        scaled = f"({value} * 100D)"
+        whole = f"signum({scaled}) * floor(abs({scaled}) + 0.49999999999999994D)"
+        return f"CASE WHEN abs({scaled}) < 4503599627370496D THEN {whole} / 100D ELSE {value} END"
+
+    fahrenheit, mph = number("temperature_f"), number("wind_speed_mph")
+    celsius = f"(({fahrenheit} - 32D) * (5D / 9D))"
+    columns = [
+        *keep,
+        "station AS station_id",
+        "location",
+        "observation_time AS observation_timestamp",
+        f"{rounded(celsius)} AS temperature_degC",
+        f"{fahrenheit} AS temperature_f",
+        f"{number('humidity_pct')} AS humidity_pct",
+        f"{rounded(f'({mph} * 0.44704D)')} AS wind_speed_mps",
+        f"{mph} AS wind_speed_mph",
+        f"{number('pressure_mb')} AS pressure_mb",
+        "condition",
+        "current_timestamp() AS ingestion_timestamp",
+    ]
+    return f"SELECT {', '.join(columns)} FROM {raw} WHERE observation_time IS NOT NULL"
+
+
 def from_metric(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Stage °C, km/h and Pa readings in the layout of ``from_imperial``."""
     celsius, kmh = _number("temperature_degC"), _number("wind_speed_kmh")

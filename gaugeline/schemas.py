@@ -1,80 +1,9 @@
-"""Schemas of landed documents and tables, and the type names they are declared with."""
+"""Schemas of landed documents and tables; column and field names are fixed values."""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Type names of a table declaration.
-PRIMITIVES: dict[str, T.DataType] = {
-    "string": T.StringType(),
-    "double": T.DoubleType(),
-    "float": T.FloatType(),
-    "int": T.IntegerType(),
-    "long": T.LongType(),
-    "boolean": T.BooleanType(),
-    "timestamptz": T.TimestampType(),
-}
-
-
-def declared_type(spec: str | dict) -> T.DataType:
-    """Spark type for a declared type; an unknown name raises."""
-    if isinstance(spec, str):
-        if spec not in PRIMITIVES:
-            raise ValueError(f"unknown type name: {spec}")
-        return PRIMITIVES[spec]
-    kind = spec.get("type")
-    if kind == "list":
-        return T.ArrayType(declared_type(spec["element"]), not spec.get("element-required", False))
-    if kind == "map":
-        return T.MapType(
-            declared_type(spec["key"]),
-            declared_type(spec["value"]),
-            not spec.get("value-required", False),
-        )
-    if kind == "struct":
-        return declared_schema(spec["fields"])
-    raise ValueError(f"unknown type: {spec}")
-
-
-def declared_schema(fields: list[dict]) -> T.StructType:
-    """Schema for ``{"name", "type", "required"}`` fields."""
-    return T.StructType(
-        [
-            T.StructField(f["name"], declared_type(f["type"]), not f.get("required", False))
-            for f in fields
-        ]
-    )
-
-
-def type_spec(data_type: T.DataType) -> str | dict:
-    """The declared form of a Spark type."""
-    for name, known in PRIMITIVES.items():
-        if data_type == known:
-            return name
-    if isinstance(data_type, T.ArrayType):
-        return {
-            "type": "list",
-            "element": type_spec(data_type.elementType),
-            "element-required": not data_type.containsNull,
-        }
-    if isinstance(data_type, T.MapType):
-        return {
-            "type": "map",
-            "key": type_spec(data_type.keyType),
-            "value": type_spec(data_type.valueType),
-            "value-required": not data_type.valueContainsNull,
-        }
-    if isinstance(data_type, T.StructType):
-        return {
-            "type": "struct",
-            "fields": [
-                {"name": f.name, "type": type_spec(f.dataType), "required": not f.nullable}
-                for f in data_type
-            ],
-        }
-    raise ValueError(f"type cannot be declared: {data_type.simpleString()}")
-
-
 # Measure columns of an observation and the document field each comes from.
 MEASURES = {
     "temperature_degC": "temperature",
@@ -93,6 +22,7 @@ MEASURES = {
     "heat_index_degC": "heatIndex",
 }
 
+# Fixed values from here on: the layouts of raw tables and landed documents.
 METRIC_RAW = T.StructType(
     [
         T.StructField("observation_timestamp", T.TimestampType(), False),
@@ -127,7 +57,8 @@ STATION_PAGE = T.StructType(
     ]
 )
 
-_reading = T.StructType([T.StructField("value", T.DoubleType())])
+# Readings stay text until the contract casts them, so that a bad one is seen.
+_reading = T.StructType([T.StructField("value", T.StringType())])
 
 FEATURE = T.StructType(
     [

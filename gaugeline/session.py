@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Counts and bounds of whole tables from file footers, for version 2 scans.
+    "spark.sql.parquet.aggregatePushdown": "true",
     # State of streaming aggregations off the heap, with incremental checkpoints.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -26,15 +28,25 @@ SETTINGS = {
 # Bytes one task should read or receive, so that its sort mostly stays in memory.
 TASK_BYTES = 128 * 1024 * 1024
 
-_local_scratch: dict[str, str] = {}
+_local_scratch: dict[str, tempfile.TemporaryDirectory] = {}
 
 
-def build_session(app: str = "gaugeline", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the library expects; ``conf`` adds or overrides."""
+def build_session(
+    app: str = "gaugeline",
+    master: str | None = None,
+    input_bytes: int | None = None,
+    cores: int = 8,
+    **conf: str,
+) -> SparkSession:
+    """A session with the settings the library expects; ``conf`` adds or overrides.
+
+    With ``input_bytes`` shuffles and scans are sized for that input on ``cores``.
+    """
+    sized = sized_for(input_bytes, cores) if input_bytes else {}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **conf}.items():
+    for key, value in {**SETTINGS, **sized, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -65,4 +77,7 @@ def scratch_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_scratch.setdefault(context.applicationId, tempfile.mkdtemp(prefix="gaugeline-"))
+    if context.applicationId not in _local_scratch:
+        folder = tempfile.TemporaryDirectory(prefix="gaugeline-", ignore_cleanup_errors=True)
+        _local_scratch[context.applicationId] = folder  # removed when the process ends
+    return _local_scratch[context.applicationId].name

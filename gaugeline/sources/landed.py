@@ -10,6 +10,7 @@ from gaugeline.functions.text import after_marker, last_segment
 from gaugeline.schemas import FEATURE_COLLECTION, STATION_PAGE
 
 CORRUPT = "_corrupt_record"
+_FIRST_VERSION = "spark.sql.sources.useV1SourceList"
 
 
 def _read_json(spark: SparkSession, path, schema: T.StructType, one_per_file: bool) -> DataFrame:
@@ -58,8 +59,43 @@ def station_keys(stations: DataFrame) -> DataFrame:
 
 
 def explode_features(collections: DataFrame) -> DataFrame:
-    """One ``observation`` per feature; empty and NULL collections give none."""
-    return collections.select(F.explode("features").alias("observation"))
+    """One ``observation`` per feature of readable documents; empty and NULL collections give none."""
+    readable = collections.filter(F.col(CORRUPT).isNull()) if CORRUPT in collections.columns else collections
+    return readable.select(F.explode("features").alias("observation"))
+
+
+def unreadable_documents(collections: DataFrame) -> DataFrame:
+    """Documents that could not be read in full, as rejects: reason and text."""
+    # Spark refuses to read the text alone, so the parsed column takes part in a filter.
+    parsed = F.coalesce(F.size("features"), F.lit(0)) >= 0
+    broken = collections.filter(F.col(CORRUPT).isNotNull() & parsed)
+    return broken.select(F.lit("unreadable document").alias("reason"), F.col(CORRUPT).alias("record"))
+
+
+def land_rejects(rejects: DataFrame, path: str) -> None:
+    """Land rejects as Parquet."""
+    rejects.write.parquet(path)
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """Number of rejects by reason."""
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def read_footers(spark: SparkSession, *paths: str) -> DataFrame:
+    """Parquet files as a version 2 scan, whose counts and bounds come from footers.
+
+    Needs ``spark.sql.parquet.aggregatePushdown``, which ``build_session`` sets and
+    this function sets where it is off.
+    """
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    kept = spark.conf.get(_FIRST_VERSION)
+    formats = [f for f in kept.split(",") if f.strip() != "parquet"]
+    spark.conf.set(_FIRST_VERSION, ",".join(formats))
+    try:
+        return spark.read.parquet(*paths)
+    finally:
+        spark.conf.set(_FIRST_VERSION, kept)
 
 
 def write_landed(df: DataFrame, path: str) -> None:

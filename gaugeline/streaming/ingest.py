@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+_PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
+
+
 def file_stream(
     spark: SparkSession,
     path: str,
@@ -40,13 +43,27 @@ def append_stream(stream: DataFrame, target: str, checkpoint: str) -> None:
 
 def write_batches(
     stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str
-) -> None:
-    """Hand every available micro-batch to ``write`` and stop."""
-    (
-        stream.writeStream.foreachBatch(write)
-        .outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
+) -> int:
+    """Hand every available micro-batch to ``write`` and stop.
+
+    Returns the number of rows that stateful operators dropped as too late.
+    """
+    conf = stream.sparkSession.conf
+    kept = conf.get(_PROGRESS, None)
+    conf.set(_PROGRESS, "100000")  # reports of all batches of the run
+    try:
+        query = (
+            stream.writeStream.foreachBatch(write)
+            .outputMode(mode)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    finally:
+        conf.unset(_PROGRESS) if kept is None else conf.set(_PROGRESS, kept)
+    return sum(
+        state["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for state in progress["stateOperators"]
     )

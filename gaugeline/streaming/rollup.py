@@ -2,62 +2,25 @@
 
 ``windowed_daily`` keeps open days in the state store and suits a stream whose
 rows arrive near their time. ``land_partials`` keeps no state: each batch leaves
-its own sums, which merge exactly in any order, so rows may come as late as they
-like.
+its own pieces, which merge in any order, so rows may come as late as they like.
+
+Every batch has a folder ``batch-N`` below the target. ``merge_batches`` puts the
+batches so far together as ``upto-N``; readers take the newest such folder that
+is complete and the batches after it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.functions.rounding import round_to, scaled_long
+from gaugeline.operators.stage import delete_path
+from gaugeline.plans.marts import DAILY, DAILY_KEYS
 from gaugeline.streaming.ingest import write_batches
 
-KEYS = ["station_id", "location", "observation_date"]
-
-# Output column and the staged column it averages.
-MEANS = {
-    "avg_temperature_degC": "temperature_degC",
-    "avg_humidity_pct": "humidity_pct",
-    "avg_wind_speed_mps": "wind_speed_mps",
-    "avg_pressure_mb": "pressure_mb",
-}
-BOUNDS = {
-    "min_temperature_degC": (F.min, "temperature_degC"),
-    "max_temperature_degC": (F.max, "temperature_degC"),
-    "max_wind_speed_mps": (F.max, "wind_speed_mps"),
-}
-
-
-def _partial_columns() -> list[Column]:
-    """Mergeable pieces: counts, sums in whole hundredths, and bounds."""
-    pieces = [F.count(F.lit(1)).alias("observation_count")]
-    for name, source in MEANS.items():
-        units = scaled_long(F.col(source), 2)
-        pieces += [F.sum(units).alias(f"sum_{name}"), F.count(units).alias(f"n_{name}")]
-    return pieces + [pick(source).alias(name) for name, (pick, source) in BOUNDS.items()]
-
-
-def _rollup_columns() -> list[Column]:
-    """The rollup of one group from its pieces, in the layout of the batch model."""
-
-    def mean(name: str) -> Column:
-        average = F.col(f"sum_{name}").cast("double") / 100.0 / F.col(f"n_{name}")
-        return round_to(average, 2).alias(name)
-
-    return [
-        *(F.col(key) for key in KEYS),
-        F.col("observation_count"),
-        mean("avg_temperature_degC"),
-        round_to(F.col("min_temperature_degC"), 2).alias("min_temperature_degC"),
-        round_to(F.col("max_temperature_degC"), 2).alias("max_temperature_degC"),
-        mean("avg_humidity_pct"),
-        mean("avg_wind_speed_mps"),
-        round_to(F.col("max_wind_speed_mps"), 2).alias("max_wind_speed_mps"),
-        mean("avg_pressure_mb"),
-    ]
-
 
 def windowed_daily(stream: DataFrame, delay: str, time: str = "observation_timestamp") -> DataFrame:
     """Pieces per station and tumbling day; rows later than ``delay`` are dropped."""
@@ -65,43 +28,86 @@ def windowed_daily(stream: DataFrame, delay: str, time: str = "observation_times
     return (
         stream.withWatermark(time, delay)
         .groupBy("station_id", "location", day.alias("_day"))
-        .agg(*_partial_columns())
+        .agg(*DAILY.pieces())
         .withColumn("observation_date", F.col("_day.start"))
         .drop("_day")
     )
 
 
-def land_windowed(stream: DataFrame, delay: str, target: str, checkpoint: str) -> None:
-    """Run ``windowed_daily`` on all available input; every batch leaves its changed days."""
+def _write_batch(target: str, change: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """A retried batch replaces its folder."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        numbered = change(batch).withColumn("batch", F.lit(batch_id).cast("long"))
+        numbered.write.mode("overwrite").parquet(f"{target}/batch-{batch_id}")
 
-    write_batches(windowed_daily(stream, delay), write, checkpoint, "update")
+    return write
 
 
-def read_windowed(spark: SparkSession, target: str) -> DataFrame:
-    """The newest version of every station-day."""
-    versions = spark.read.parquet(target)
-    pieces = F.struct(*(name for name in versions.columns if name not in KEYS))
-    newest = versions.groupBy(*KEYS).agg(F.max_by(pieces, F.col("batch")).alias("_newest"))
-    return newest.select(*KEYS, "_newest.*").select(*_rollup_columns())
+def land_windowed(stream: DataFrame, delay: str, target: str, checkpoint: str) -> int:
+    """Run ``windowed_daily`` on all available input; every batch leaves its changed days.
+
+    Returns the number of rows that came too late and were dropped.
+    """
+    write = _write_batch(target, lambda batch: batch)
+    return write_batches(windowed_daily(stream, delay), write, checkpoint, "update")
 
 
 def land_partials(stream: DataFrame, target: str, checkpoint: str) -> None:
-    """Leave each batch's pieces in a folder of its own; a retried batch replaces its folder."""
+    """Leave each batch's pieces in a folder of its own."""
+    write = _write_batch(target, lambda batch: batch.groupBy(*DAILY_KEYS).agg(*DAILY.pieces()))
+    write_batches(stream, write, checkpoint, "append")
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        pieces = batch.groupBy(*KEYS).agg(*_partial_columns())
-        pieces.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
-    write_batches(stream, write, checkpoint, "append")
+def _folders(spark: SparkSession, target: str) -> tuple[list[str], list[str], int]:
+    """(folders to read, folders they replace, last batch); one entry per unmerged batch."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for status in fs.listStatus(path):
+        match = re.fullmatch(r"(batch|upto)-(\d+)", status.getPath().getName())
+        done = match and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
+        if done:
+            found.append((match[1], int(match[2]), status.getPath().toString()))
+    merged = max((n for kind, n, _ in found if kind == "upto"), default=-1)
+    current = [p for kind, n, p in found if n > merged or (kind == "upto" and n == merged)]
+    return current, [p for _, _, p in found if p not in current], max((n for _, n, _ in found), default=-1)
+
+
+def _newest(versions: DataFrame) -> DataFrame:
+    """The newest version of every station-day."""
+    pieces = F.struct(*(name for name in versions.columns if name not in DAILY_KEYS))
+    return versions.groupBy(*DAILY_KEYS).agg(F.max_by(pieces, "batch").alias("_newest")).select(*DAILY_KEYS, "_newest.*")
+
+
+def _added(pieces: DataFrame) -> DataFrame:
+    return pieces.groupBy(*DAILY_KEYS).agg(*DAILY.merged(), F.max("batch").alias("batch"))
+
+
+def _read(spark: SparkSession, target: str, merge: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    return merge(spark.read.parquet(*_folders(spark, target)[0]))
+
+
+def read_windowed(spark: SparkSession, target: str) -> DataFrame:
+    """The rollup of what ``land_windowed`` left."""
+    return _read(spark, target, _newest).select(*DAILY_KEYS, *DAILY.finished())
 
 
 def read_partials(spark: SparkSession, target: str) -> DataFrame:
-    """Merge the pieces of all batches."""
-    merges = [F.sum("observation_count").alias("observation_count")]
-    for name in MEANS:
-        merges += [F.sum(f"sum_{name}").alias(f"sum_{name}"), F.sum(f"n_{name}").alias(f"n_{name}")]
-    merges += [pick(name).alias(name) for name, (pick, _) in BOUNDS.items()]
-    return spark.read.parquet(target).groupBy(*KEYS).agg(*merges).select(*_rollup_columns())
+    """The rollup of what ``land_partials`` left."""
+    return _read(spark, target, _added).select(*DAILY_KEYS, *DAILY.finished())
+
+
+def merge_batches(spark: SparkSession, target: str, windowed: bool = False) -> None:
+    """Put the batches so far into one folder and delete those merged before.
+
+    Folders just merged stay for running readers until the next merge. Run it
+    between two runs of the stream.
+    """
+    current, replaced, last = _folders(spark, target)
+    if len(current) > 1:
+        merged = _read(spark, target, _newest if windowed else _added)
+        merged.write.mode("overwrite").parquet(f"{target}/upto-{last}")
+    for path in replaced:
+        delete_path(spark, path)

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeline.functions import text, timeparts, units
-from gaugeline.functions.rounding import exact_avg, round_to, scaled_long
+from gaugeline.functions.rounding import round_average, round_to, steady_avg
 
 
 def one(spark, column, value, kind="double"):
@@ -58,20 +58,47 @@ def test_round_equals_sql_rounding(spark):
     assert got == [e[0] for e in expected]
 
 
-def test_scaled_long(spark):
-    assert one(spark, scaled_long, 22.35) == 2235
-    assert one(spark, scaled_long, -0.07) == -7
-    assert one(spark, scaled_long, math.nan) is None
-    with pytest.raises(Exception, match="OVERFLOW"):
-        one(spark, scaled_long, 1e30)
+def average(rows, parts=1):
+    return rows.repartition(parts).agg(steady_avg(F.col("x"))).first()[0]
 
 
-def test_exact_avg_ignores_order_nulls_and_nan(spark):
-    values = [0.1, 0.2, 0.3, None, 1e9, -1e9, math.nan] * 50
+@pytest.mark.parametrize(
+    "values, expected",
+    [
+        ([22.222] * 3, 22.222),
+        ([1.004] * 3 + [1.008] * 2, 1.0056),
+        ([0.244, 0.244, 0.248], 0.24533333333333333),
+        ([1e17, 2.0], 5e16),
+        ([1e300, 1e300], 1e300),
+        ([math.inf, 1.0], math.inf),
+        ([None, 4.0], 4.0),
+        ([None], None),
+        ([1e-12, 3e-12], 2e-12),
+    ],
+)
+def test_averages_keep_all_decimals(spark, values, expected):
     rows = spark.createDataFrame([(v,) for v in values], "x double")
-    for parts in (1, 7):
-        assert rows.repartition(parts).agg(exact_avg(F.col("x"))).first()[0] == 0.12
-    assert rows.filter("x IS NULL").agg(exact_avg(F.col("x"))).first()[0] is None
+    assert average(rows) == (None if expected is None else pytest.approx(expected, rel=1e-15))
+
+
+def test_averages_of_nan(spark):
+    assert math.isnan(average(spark.createDataFrame([(1.0,), (math.nan,)], "x double")))
+    assert math.isnan(average(spark.createDataFrame([(math.inf,), (-math.inf,)], "x double")))
+
+
+def test_averages_do_not_depend_on_order(spark):
+    rng = np.random.default_rng(3)
+    values = np.concatenate([rng.normal(20, 30, 3000), rng.normal(0, 1e6, 500), [1e9, -1e9, 1e-7]]).tolist()
+    exact = math.fsum(values) / len(values)
+    got = {average(spark.createDataFrame([(v,) for v in rng.permutation(values).tolist()], "x double"), p) for p in (1, 3, 7, 8)}
+    assert got == {exact}
+
+
+def test_halves_of_averages_round_as_decimals(spark):
+    rows = spark.createDataFrame([(v,) for v in (-1.86, 13.12, 76.38, -10.66)], "x double")
+    assert rows.agg(round_average(steady_avg(F.col("x")), 2)).first()[0] == 19.25
+    rows = spark.createDataFrame([(v,) for v in (0.244, 0.244, 0.248)], "x double")
+    assert rows.agg(round_average(steady_avg(F.col("x")), 2)).first()[0] == 0.25
 
 
 def test_units(spark):

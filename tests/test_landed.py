@@ -9,6 +9,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from gaugeline.operators import quality
 from gaugeline.operators.stage import stage_path
 from gaugeline.plans import load
 from gaugeline.schemas import METRIC_RAW
@@ -74,7 +75,9 @@ def test_features_empty_null_and_unreadable(spark, folder):
     )
     documents = landed.read_feature_collections(spark, path)
     assert landed.explode_features(documents).count() == 2
-    assert documents.cache().filter(F.col(landed.CORRUPT).isNotNull()).count() == 1
+    assert [tuple(r) for r in landed.unreadable_documents(documents).collect()] == [
+        ("unreadable document", "{oops")
+    ]
 
 
 def test_flatten(spark, folder):
@@ -83,6 +86,7 @@ def test_flatten(spark, folder):
     flat = load.flatten_observations(
         landed.explode_features(landed.read_feature_collections(spark, path))
     )
+    flat = quality.apply_contract(flat, METRIC_RAW)
     assert flat.columns == METRIC_RAW.names
     assert [f.dataType for f in flat.schema] == [f.dataType for f in METRIC_RAW]
     row, other = flat.orderBy(F.col("station_id").desc()).collect()
@@ -94,11 +98,20 @@ def test_flatten(spark, folder):
     assert other["observation_timestamp"] is None and other["heat_index_degC"] == 30.0
 
 
-def test_load_sets_incomplete_rows_aside(spark, folder):
-    path = folder(collection(feature(), feature(stationId=None), feature(timestamp="soon")))
-    features = landed.explode_features(landed.read_feature_collections(spark, path))
-    good, aside = load.load_observations(features)
-    assert (good.count(), aside.count()) == (1, 2)
+def test_load_rejects_what_it_cannot_load(spark, folder):
+    bad = [feature(stationId=None), feature(timestamp="soon"), feature(windSpeed={"value": "n/a"})]
+    path = folder(collection(feature(), *bad), "{oops", '{"features": 5}')
+    good, rejects = load.load_observations(landed.read_feature_collections(spark, path))
+    assert good.count() == 1
+    target = stage_path(spark, "rejects")
+    landed.land_rejects(rejects, target)
+    counts = {r["reason"]: r["row_count"] for r in landed.reject_counts(spark.read.parquet(target)).collect()}
+    assert counts == {
+        "station_id is missing": 1,
+        "observation_timestamp is no timestamp": 1,
+        "wind_speed_kmh is no double": 1,
+        "unreadable document": 2,
+    }
 
 
 def test_glob_reads_all_files(spark):

@@ -69,6 +69,20 @@ def test_metric_staging_has_the_same_layout(spark, staged):
     assert staging.union_sources(staged, metric).count() == 7
 
 
+def test_view_stages_like_the_function(spark):
+    rows = spark.createDataFrame(ROWS + [("E", "X", MIDNIGHT, float("nan"), 1.0, float("inf"), 1.0, None)], IMPERIAL_RAW)
+    rows.createOrReplaceTempView("raw_rows")
+    view = spark.sql(staging.imperial_view("raw_rows")).drop("ingestion_timestamp")
+    assert view.dtypes == staging.from_imperial(rows).dtypes
+    assert sorted(map(str, view.collect())) == sorted(map(str, staging.from_imperial(rows).collect()))
+
+
+def test_averages_of_many_decimals(spark):
+    rows = [("A", "X", MORNING, 50.0, h, 1.0, 1000.0, None) for h in (1.004, 1.004, 1.004, 1.008, 1.008)]
+    daily = marts.daily_weather(marts.with_time_parts(staging.from_imperial(spark.createDataFrame(rows, IMPERIAL_RAW))))
+    assert daily.first()["avg_humidity_pct"] == 1.01
+
+
 def test_load_time_is_added(staged):
     assert staging.with_load_time(staged).columns[-1] == "ingestion_timestamp"
 

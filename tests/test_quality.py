@@ -1,4 +1,4 @@
-"""Schema declarations, the contract and the quality reports."""
+"""The contract and the quality reports."""
 
 from __future__ import annotations
 
@@ -9,39 +9,7 @@ from pyspark.sql import types as T
 
 from gaugeline.operators import quality
 from gaugeline.plans.analytics import warm_samples
-from gaugeline.schemas import METRIC_RAW, SAMPLES, declared_schema, declared_type, type_spec
-
-
-def test_types_round_trip():
-    for schema in (METRIC_RAW, SAMPLES):
-        assert declared_type(type_spec(schema)) == schema
-    counts = {"type": "map", "key": "string", "value": "long", "value-required": True}
-    assert declared_type(counts) == T.MapType(T.StringType(), T.LongType(), False)
-    assert type_spec(declared_type(counts)) == counts
-    for name in ("string", "double", "float", "int", "long", "boolean", "timestamptz"):
-        assert type_spec(declared_type(name)) == name
-
-
-def test_declared_schema_has_required_fields():
-    schema = declared_schema(
-        [
-            {"name": "id", "type": "int", "required": True},
-            {"name": "tags", "type": {"type": "list", "element": "string"}},
-        ]
-    )
-    assert quality.required_columns(schema) == ["id"]
-    assert schema["tags"].dataType == T.ArrayType(T.StringType())
-
-
-@pytest.mark.parametrize("spec", ["decimal", {"type": "tuple"}])
-def test_unknown_type_raises(spec):
-    with pytest.raises(ValueError, match="unknown"):
-        declared_type(spec)
-
-
-def test_undeclarable_type_raises():
-    with pytest.raises(ValueError, match="cannot be declared"):
-        type_spec(T.BinaryType())
+from gaugeline.schemas import SAMPLES
 
 
 def test_contract(spark):
@@ -58,6 +26,24 @@ def test_contract(spark):
         quality.apply_contract(rows.drop("x"), schema)
 
 
+def test_rejects_have_reasons_and_miss_nothing(spark):
+    schema = T.StructType(
+        [T.StructField("id", T.IntegerType(), False), T.StructField("x", T.DoubleType())]
+    )
+    rows = spark.createDataFrame(
+        [("1", "1.5"), ("2", None), ("bad", "2"), ("3", "n/a"), (None, "oops")], "id string, x string"
+    )
+    good, rejects = quality.split_contract(rows, schema)
+    assert {tuple(r) for r in good.collect()} == {(1, 1.5), (2, None)}
+    assert {tuple(r) for r in rejects.collect()} == {
+        ("id is no int", '{"id":"bad","x":"2"}'),
+        ("x is no double", '{"id":"3","x":"n/a"}'),
+        ("id is missing; x is no double", '{"x":"oops"}'),
+    }
+    with pytest.raises(ValueError, match="missing"):
+        quality.split_contract(rows.drop("x"), schema)
+
+
 def test_reports(spark):
     rows = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (None, "z")], "k int, v string")
     missing = {tuple(r) for r in quality.not_null_violations(rows, ["k", "v"]).collect()}
@@ -74,17 +60,10 @@ def test_reconcile(spark):
 
 
 def test_samples(spark):
-    names = ["Station A", "Station B", "Station C", "Station D", "Station E"]
-    temperatures = [20.5, 22.3, 19.8, 21.1, 20.9]
     rows = [
-        (i + 1, dt.datetime(2024, 1, 1, i), name, temperature, ["outdoor"])
-        for i, (name, temperature) in enumerate(zip(names, temperatures))
+        (i, dt.datetime(2024, 5, 6, i), f"place {i}", temperature, ["a", "b"])
+        for i, temperature in enumerate([3.5, 20.0, 30.25, None, 20.5])
     ]
     samples = spark.createDataFrame(rows, SAMPLES)
     got = warm_samples(samples, ["name"], "timestamp", "temperature").collect()
-    assert [tuple(r) for r in got] == [
-        ("Station B", 22.3, 1),
-        ("Station D", 21.1, 3),
-        ("Station E", 20.9, 4),
-        ("Station A", 20.5, 0),
-    ]
+    assert [tuple(r) for r in got] == [("place 2", 30.25, 2), ("place 4", 20.5, 4)]

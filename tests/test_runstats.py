@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from gaugeline.operators import order_stats
 from gaugeline.operators.stage import stage_path
 from gaugeline.plans import runstats
 
@@ -13,7 +14,7 @@ from gaugeline.plans import runstats
 def timings(spark):
     runs = {
         ("q", "parquet"): [10.0, 11.0, 12.0, 13.0, 14.0],
-        ("q", "iceberg"): [12.0, 13.0, 14.0, 15.0, 16.0],
+        ("q", "lake"): [12.0, 13.0, 14.0, 15.0, 16.0],
         ("once", "parquet"): [7.0],
         ("many", "parquet"): [float(i) for i in range(20)],
     }
@@ -21,9 +22,10 @@ def timings(spark):
     return spark.createDataFrame(rows, "query string, format string, time_ms double")
 
 
-@pytest.mark.parametrize("hot_rows", [10**6, 1])
-def test_run_stats(timings, hot_rows):
-    got = {(r["query"], r["format"]): r for r in runstats.run_stats(timings, hot_rows=hot_rows).collect()}
+@pytest.mark.parametrize("values", [10**6, 1])
+def test_run_stats(timings, values, monkeypatch):
+    monkeypatch.setattr(order_stats, "WINDOW_VALUES", values)
+    got = {(r["query"], r["format"]): r for r in runstats.run_stats(timings).collect()}
     five = got["q", "parquet"]
     assert (five["median"], five["mean"], five["min"], five["max"]) == (12.0, 12.0, 10.0, 14.0)
     assert (five["p95"], five["stddev"], five["runs"]) == (14.0, 1.58, 5)
@@ -31,8 +33,13 @@ def test_run_stats(timings, hot_rows):
     assert (got["many", "parquet"]["p95"], got["many", "parquet"]["median"]) == (19.0, 9.5)
 
 
+def test_means_keep_all_decimals(spark):
+    rows = spark.createDataFrame([("q", "f", t) for t in (0.244, 0.244, 0.248)], "query string, format string, time_ms double")
+    assert runstats.run_stats(rows).first()["mean"] == 0.25
+
+
 def test_overhead(timings):
-    report = runstats.overhead_report(runstats.run_stats(timings), "parquet", "iceberg")
+    report = runstats.overhead_report(runstats.run_stats(timings), "parquet", "lake")
     rows = report.collect()
     assert [r["query"] for r in rows] == ["q"]
     assert (rows[0]["overhead_pct"], rows[0]["verdict"]) == (16.7, "Slight overhead")

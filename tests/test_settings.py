@@ -8,7 +8,7 @@ from types import SimpleNamespace
 import pytest
 
 from gaugeline.operators import stage as staging
-from gaugeline.session import TASK_BYTES, scratch_dir, sized_for
+from gaugeline.session import TASK_BYTES, build_session, scratch_dir, sized_for
 from gaugeline.sources.locations import storage_conf, warehouse_path
 
 
@@ -23,6 +23,17 @@ def test_shuffles_grow_with_the_input():
     assert sized_for(10**14, 4000)["spark.sql.shuffle.partitions"] == "100000"
 
 
+def test_a_session_is_sized_for_its_input(spark):
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        build_session("gaugeline-tests", input_bytes=100 * TASK_BYTES, cores=4)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+    finally:
+        for key in sized_for(1, 1):
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+
+
 def test_shared_folder_wins():
     assert scratch_dir(session("yarn", "s3a://bucket/scratch/")) == "s3a://bucket/scratch"
 

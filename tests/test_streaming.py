@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,11 +89,31 @@ def test_windowed_drops_rows_behind_the_watermark(spark, paths):
     land(observations(spark, 2000, 1), paths)
     rollup.land_windowed(stream(spark, paths), "1 hour", paths["target"], paths["checkpoint"])
     land(observations(spark, 3, 1), paths)
-    rollup.land_windowed(stream(spark, paths), "1 hour", paths["target"], paths["checkpoint"])
+    late = rollup.land_windowed(stream(spark, paths), "1 hour", paths["target"], paths["checkpoint"])
+    assert late == 1
     total = rollup.read_windowed(spark, paths["target"]).agg(F.sum("observation_count")).first()[0]
     assert total == 31
 
 
+def test_merged_batches_read_the_same(spark, paths):
+    def folders():
+        return sorted(f for f in os.listdir(paths["target"].removeprefix("file:")))
+
+    for first in (0, 40, 80):
+        land(observations(spark, first, 40), paths)
+        rollup.land_partials(marts.with_time_parts(stream(spark, paths)), paths["target"], paths["checkpoint"])
+        if first == 40:
+            rollup.merge_batches(spark, paths["target"])
+            assert folders() == ["batch-0", "batch-1", "upto-1"]
+    expected = as_rows(batch_daily(spark, observations(spark, 0, 120)))
+    assert as_rows(rollup.read_partials(spark, paths["target"])) == expected
+    rollup.merge_batches(spark, paths["target"])
+    assert as_rows(rollup.read_partials(spark, paths["target"])) == expected
+    rollup.merge_batches(spark, paths["target"])
+    assert folders() == ["upto-2"]
+    assert as_rows(rollup.read_partials(spark, paths["target"])) == expected
+
+
 def test_redelivered_rows_are_dropped_across_runs(spark, paths):
     first = observations(spark, 0, 40)
     land(first.unionByName(first.filter("id < 10")), paths)

@@ -97,8 +97,7 @@ def test_delete(spark, name, partition_by):
     assert [r[0] for r in contents(spark, name)] == expected
     # An emptied partition must not come back when partitions are listed anew.
     tables.append_rows(rows(spark).filter("id = 0"), name)
-    if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+    spark.catalog.refreshTable(name)
     assert [r[0] for r in contents(spark, name)] == [0, *expected]
 
 
@@ -144,6 +143,64 @@ def test_required_columns_are_enforced(spark, name):
         tables.append_rows(bad, name)
 
 
+def test_reader_in_the_middle_of_a_replace_sees_all_old_rows(spark, name, monkeypatch):
+    make(spark, name, ("part",))
+    seen = []
+    write = tables._write_version
+
+    def then_read(df, path, parts):
+        write(df, path, parts)
+        seen.append(len(contents(spark, name)))
+
+    monkeypatch.setattr(tables, "_write_version", then_read)
+    tables.replace_rows(rows(spark, 3), name)
+    assert seen == [20] and len(contents(spark, name)) == 3
+
+
+@pytest.mark.parametrize("partition_by", [(), ("part",)])
+def test_unknown_columns_and_unsafe_types_raise_before_writing(spark, name, partition_by):
+    make(spark, name, partition_by)
+    before = location(spark, name)
+    writers = [tables.append_rows, tables.replace_rows] + [tables.replace_partitions] * bool(partition_by)
+    for write in writers:
+        with pytest.raises(ValueError, match="more"):
+            write(rows(spark).withColumn("more", F.lit(1)), name)
+        with pytest.raises(ValueError, match="'v'"):
+            write(rows(spark).drop("v"), name)
+        with pytest.raises(ValueError, match="types of.*id"):
+            write(rows(spark).withColumn("id", F.lit("x")), name)
+    assert len(contents(spark, name)) == 20 and location(spark, name) == before
+    tables.append_rows(rows(spark, 1).withColumn("id", F.lit(7).cast("int")), name)
+    assert len(contents(spark, name)) == 21
+
+
+def test_safe_types():
+    from pyspark.sql import types as T
+
+    assert tables._holds(T.LongType(), T.IntegerType()) and not tables._holds(T.IntegerType(), T.LongType())
+    assert tables._holds(T.DoubleType(), T.IntegerType()) and not tables._holds(T.FloatType(), T.IntegerType())
+    assert tables._holds(T.TimestampType(), T.DateType()) and not tables._holds(T.StringType(), T.LongType())
+
+
+def test_save_mart_takes_new_columns_types_and_partitions(spark, name):
+    folder = stage_path(spark, "mart")
+    tables.save_mart(rows(spark), name, folder, ("part",))
+    tables.save_mart(rows(spark, 5).withColumn("b", F.lit(1.5)).withColumn("id", F.col("id").cast("string")), name, folder)
+    table = tables.read_table(spark, name)
+    assert table.dtypes == [("id", "string"), ("part", "bigint"), ("v", "string"), ("b", "double")]
+    assert table.count() == 5
+
+
+def test_view_follows_its_table(spark, name):
+    make(spark, name)
+    tables.save_view(spark, f"{name}_view", f"SELECT id FROM {name} WHERE part = 1")
+    assert spark.table(f"{name}_view").count() == 5
+    tables.replace_rows(rows(spark, 2), name)
+    assert spark.table(f"{name}_view").count() == 1
+    tables.drop_namespace(spark, name.split(".")[0])
+    assert not spark.catalog.databaseExists(name.split(".")[0])
+
+
 def test_save_mart_creates_and_replaces(spark, name):
     folder = stage_path(spark, "mart")
     tables.save_mart(rows(spark), name, folder, ("part",))
