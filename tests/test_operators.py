@@ -136,6 +136,22 @@ def test_rolling_average(series, hot_rows, rows_in_frame):
                 assert got[row[0]] is None
 
 
+def test_rolling_average_of_infinity_nan_and_many_decimals(spark):
+    rng = random.Random(8)
+    odd = {50: math.inf, 90: math.nan, 130: 1e17, 170: None}
+    rows = [(i, "s", START + dt.timedelta(hours=i), odd.get(i, rng.uniform(-1, 1) / 3)) for i in range(260)]
+    df = spark.createDataFrame(rows, "id long, station string, ts timestamp_ntz, value double").repartition(5)
+
+    def rolled(hot_rows):
+        got = rolling_average(df, "station", ["ts", "id"], "value", "avg", rows=24, hot_rows=hot_rows)
+        return {r["id"]: repr(r["avg"]) for r in got.collect()}
+
+    cold = rolled(ALL_COLD)
+    assert cold == rolled(ALL_HOT) == rolled(MIXED)
+    assert cold[50] == cold[73] == "inf" and cold[90] == cold[113] == "nan"
+    assert float(cold[49]) == pytest.approx(math.fsum(r[3] for r in rows[26:50]) / 24, rel=1e-15)
+
+
 @pytest.mark.parametrize("values", [ALL_COLD, ALL_HOT, MIXED])
 def test_order_stats(series, values, monkeypatch):
     monkeypatch.setattr(order_stats, "WINDOW_VALUES", values)
