@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 
 # Code points handled at once; a longer text makes a batch of its own.
@@ -25,15 +28,40 @@ def text_chunks(
     A single longer text is still one chunk: whole texts, never parts.
     """
     for batch in batches:
-        texts = [text or "" for text in batch.column("text").to_pylist()]
+        lengths = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_pylist()
         first, size = 0, 0
-        for i, text in enumerate(texts):
-            if i > first and size + len(text) > chars:
-                yield batch.slice(first, i - first), texts[first:i]
+        for i, length in enumerate([*lengths, None]):
+            if length is None or (i > first and size + length > chars):
+                if i > first:
+                    rows = batch.slice(first, i - first)
+                    yield rows, [text or "" for text in rows.column("text").to_pylist()]
                 first, size = i, 0
-            size += len(text)
-        if texts[first:]:
-            yield batch.slice(first), texts[first:]
+            size += length or 0
+
+
+def release_memory() -> None:
+    """Give back what this worker's allocators hold but do not use.
+
+    Workers live on between tasks, several to an executor, and freed memory that
+    each of them keeps adds up.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def releasing(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` over the batches of a task, which ends with :func:`release_memory`."""
+
+    @functools.wraps(work)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            release_memory()
+
+    return run
 
 
 def mixed(values: np.ndarray) -> np.ndarray:

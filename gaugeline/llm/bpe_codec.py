@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.arrays import text_chunks
+from gaugeline.llm.arrays import releasing, text_chunks
 from gaugeline.llm.pretokens import PieceEncoder, Vocabulary, encoder_for, load_vocabulary, split_pieces
 
 LEAF_CHARS = 32_768
@@ -159,6 +159,7 @@ def encode_documents(
     byte-level BPE, on every executor.
     """
 
+    @releasing
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(tokenizer)
         for rows, texts in text_chunks(batches):
@@ -169,6 +170,7 @@ def encode_documents(
                 [_result(p, len(t.encode()), encoder.vocabulary, with_ids) for p, t in zip(parts, texts)],
             )
 
+    @releasing
     def leaves(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = encoder_for(tokenizer)
         for frame in frames:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.arrays import text_chunks
+from gaugeline.llm.arrays import releasing, text_chunks
 
 SYMBOLS = 28
 _OTHER_LETTER = 27
@@ -62,6 +62,7 @@ def count_trigrams(docs: DataFrame) -> DataFrame:
     task sends every code once.
     """
 
+    @releasing
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SYMBOLS**3, np.int64)
         for _, texts in text_chunks(batches):

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gaugeline.llm.arrays import releasing
 from gaugeline.operators.stage import stage
 
 # Links a task joins into trees at once.
@@ -31,6 +32,7 @@ def forest(a: np.ndarray, b: np.ndarray, n: int, parent: np.ndarray | None = Non
     return parent
 
 
+@releasing
 def _local_trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links as stars within bounded parts of a partition; connectivity stays the same."""
     held: list[tuple[np.ndarray, np.ndarray]] = []

@@ -29,6 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugeline.llm.arrays import releasing
 from gaugeline.llm.shared_files import mapped_file, write_file
 from gaugeline.operators.stage import stage, stage_path
 
@@ -152,6 +153,7 @@ def scanner(uris: list[str]) -> Callable[[Column], Column]:
     """A column function from texts to a struct of n_words, n_hit, items and spans."""
 
     @F.pandas_udf(_RESULT)
+    @releasing
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         names = [f.split()[0] for f in _RESULT.split(", ")]
         for texts in batches:

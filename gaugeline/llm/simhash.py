@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from gaugeline.llm.arrays import releasing
 from gaugeline.llm.components import connected_components, forest
 from gaugeline.operators.stage import stage
 
@@ -70,6 +71,7 @@ def text_fingerprint(text: str | None, size: int = SHINGLE_WORDS) -> int:
 
 
 @F.pandas_udf(LongType())
+@releasing
 def fingerprint(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """The fingerprint's 64 bits as a long."""
     for texts in batches:
@@ -127,6 +129,7 @@ class BKForest:
                     waiting.append((np.repeat(query, counts), self.children[at]))
 
 
+@releasing
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spanning forests of the links in each shard; rows come sorted by shard."""
 

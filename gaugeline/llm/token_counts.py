@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.arrays import packed, squeezed, text_chunks, unpacked, unsqueezed
+from gaugeline.llm.arrays import packed, releasing, squeezed, text_chunks, unpacked, unsqueezed
 from gaugeline.llm.pretokens import CACHED_PIECES, encoder_for, load_vocabulary, split_pieces
 from gaugeline.operators.stage import stage
 
@@ -128,6 +128,7 @@ def count_tokens(
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     special = load_vocabulary(tokenizer).special
 
+    @releasing
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in _BATCHES.split(", ")]
         kinds = (pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
@@ -145,6 +146,7 @@ def count_tokens(
         if batch.doc_ids:
             yield table(batch)
 
+    @releasing
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder_for(tokenizer).vocabulary.coder.encode_ordinary
         known: dict[bytes, int] = {}
@@ -163,6 +165,7 @@ def count_tokens(
                     ["batch", "bucket", "counts"],
                 )
 
+    @releasing
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             for ids, blob, answers in zip(*(rows.column(i).to_pylist() for i in range(3))):

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gaugeline.llm.arrays import text_chunks
+from gaugeline.llm.arrays import releasing, text_chunks
 from gaugeline.llm.pretokens import encoder_for, load_vocabulary
 from gaugeline.llm.shared_files import mapped_file, write_file
 from gaugeline.operators.stage import stage, stage_path
@@ -143,6 +143,7 @@ def write_token_files(
     small = len(vocabulary.token_bytes) <= 1 << 16 and end_id < 1 << 16
     width = "<u2" if small else "<u4"
 
+    @releasing
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_for(tokenizer)
         for rows, texts in text_chunks(batches):
@@ -160,6 +161,7 @@ def write_token_files(
                 ["part", "doc_id", "check", "ids"],
             )
 
+    @releasing
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["part", "place", "uri", "n_docs", "n_ids"]
         kinds = (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64())
@@ -213,6 +215,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
         "uri", F.coalesce(F.sum("n_ids").over(order), F.lit(0)).cast("long").alias("base")
     )
 
+    @releasing
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             for uri, base in zip(rows.column("uri").to_pylist(), rows.column("base").to_pylist()):

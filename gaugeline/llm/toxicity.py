@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from gaugeline.llm.arrays import text_chunks
+from gaugeline.llm.arrays import releasing, text_chunks
 from gaugeline.llm.char_model import SYMBOLS, CharModel, count_trigrams, restore
 from gaugeline.llm.labelled import labelled_sample
 from gaugeline.operators.stage import stage
@@ -127,6 +127,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, rows: int
     if not toxic or not clean:
         return ToxicModel(chars)
 
+    @releasing
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_chunks(batches):
             seen: tuple[Counter, Counter] = (Counter(), Counter())
@@ -176,6 +177,7 @@ def toxic_cut(raw: np.ndarray, toxic: np.ndarray) -> float:
 
 def raw_column(model: ToxicModel, text: Column) -> Column:
     @F.pandas_udf(DoubleType())
+    @releasing
     def raw(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([model.raw(t) for t in texts], dtype=float)
@@ -187,6 +189,7 @@ def score_column(model: ToxicModel, text: Column) -> Column:
     """The score of ``text``; the model (some MB at most) travels with the function."""
 
     @F.pandas_udf(DoubleType())
+    @releasing
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([model.score(t) for t in texts], dtype=float)
