@@ -121,7 +121,9 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, rows: int
     most ``MOST_FEATURES`` of the significant ones reach the driver.
     """
     chars = learn_chars(docs)
-    sample = stage(labelled_sample(docs, labels, "toxic", learn, rows), "toxic-sample")
+    drawn = labelled_sample(docs, labels, "toxic", learn, rows)
+    # Copies of a text count once: their words would all look like signs of its label.
+    sample = stage(drawn.dropDuplicates(["text", "label"]), "toxic-sample")
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
@@ -162,17 +164,20 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, rows: int
 
 
 def toxic_cut(raw: np.ndarray, toxic: np.ndarray) -> float:
-    """The middle between two neighbouring scores that sorts most documents rightly, above 0."""
+    """The middle between two neighbouring scores that sorts most documents rightly, above 0.
+
+    Of several such gaps between scores it is the widest.
+    """
     levels = np.unique(raw)
-    cuts = (levels[:-1] + levels[1:]) / 2
-    cuts = cuts[cuts > 0]
+    cuts, gaps = (levels[:-1] + levels[1:]) / 2, np.diff(levels)
+    cuts, gaps = cuts[cuts > 0], gaps[cuts > 0]
     if not len(cuts):
         return 1.0
     clean = np.sort(raw[~toxic])
     bad = np.sort(raw[toxic])
     right = np.searchsorted(clean, cuts) + len(bad) - np.searchsorted(bad, cuts)
     best = np.flatnonzero(right == right.max())
-    return float(cuts[best[len(best) // 2]])
+    return float(cuts[best[np.argmax(gaps[best])]])
 
 
 def raw_column(model: ToxicModel, text: Column) -> Column:
