@@ -4,7 +4,8 @@ The values of a group are counted first, so equal readings are one row, and
 placed by a running sum of their counts. That is a window per group and measure,
 which sorts and spills like any other; a group of more than ``WINDOW_VALUES``
 distinct values is placed by a range sort over all tasks instead. Both place a
-value alike, so the switch changes the plan and never the result.
+value alike, so the switch changes the plan and never the result. Where the whole
+table has no more rows than that, nothing is staged.
 """
 
 from __future__ import annotations
@@ -50,31 +51,42 @@ def grouped_order_stats(
     NULLs are ignored; a group without values yields NULL. NaN is the largest value.
     """
     columns = list(dict.fromkeys(stat.column for stat in stats.values()))
-    measured = df.select(*keys, *(F.col(column).cast("double") for column in columns))
-    counted = (
-        measured.unpivot(keys, columns, "_measure", "_value")
-        .filter(F.col("_value").isNotNull())
-        .groupBy(*keys, "_measure", "_value")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
+    # Short names, as the measure is part of every sort key.
+    names = {column: f"_{i}" for i, column in enumerate(columns)}
+    measured = df.select(*keys, *(F.col(column).cast("double").alias(names[column]) for column in columns))
     group = [*keys, "_measure"]
-    cold, hot = split_hot(stage(counted, "counted-values"), group, WINDOW_VALUES)
-    placed = _placed_by_window(cold, group)
-    if hot is not None:
-        placed = placed.unionByName(_placed_by_range_sort(hot, group))
+    if df.count() <= WINDOW_VALUES:
+        # No group can be too large, and one shuffle by group serves every step.
+        placed = _placed_by_window(_counted(measured.repartition(*keys), keys, names), group)
+    else:
+        counted = stage(_counted(measured, keys, names), "counted-values")
+        cold, hot = split_hot(counted, group, WINDOW_VALUES)
+        placed = _placed_by_window(cold, group)
+        if hot is not None:
+            placed = placed.unionByName(_placed_by_range_sort(hot, group))
 
     def pick(stat: OrderStat, position: Column) -> Column:
         held = (F.col("_end") - F.col("_rows") <= position) & (position < F.col("_end"))
-        return F.max(F.when((F.col("_measure") == stat.column) & held, F.col("_value")))
+        return F.max(F.when((F.col("_measure") == names[stat.column]) & held, F.col("_value")))
 
     def size(stat: OrderStat) -> Column:
-        return F.when(F.col("_measure") == stat.column, F.col("_n"))
+        return F.when(F.col("_measure") == names[stat.column], F.col("_n"))
 
     found = placed.groupBy(*keys).agg(*_picks(stats, pick, size))
     totals = df.groupBy(*keys).agg(*aggregates) if aggregates else df.select(*keys).distinct()
     return _interpolated(null_safe_join(totals, found, keys, "left"), stats)
 
 
+def _counted(measured: DataFrame, keys: list[str], names: dict[str, str]) -> DataFrame:
+    """Each value of a group and measure once, with its number of rows."""
+    return (
+        measured.unpivot(keys, list(names.values()), "_measure", "_value")
+        .filter(F.col("_value").isNotNull())
+        .groupBy(*keys, "_measure", "_value")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+    )
+
+
 def _placed_by_window(counted: DataFrame, group: list[str]) -> DataFrame:
     """Add ``_end``, the rows up to and including each value, and ``_n``, the rows of the group."""
     ordered = W.partitionBy(*group).orderBy("_value")
