@@ -19,9 +19,13 @@ of the links found instead of all pairs.
 Trees meet their queries by shuffle, not by broadcast: a broadcast of all
 trees would grow with the corpus.
 
+Vertices are fingerprints, not doc_ids: rows that share a doc_id are in one group
+only if links connect their texts. A group's name is the smallest doc_id of its
+rows, so two groups may have the same name.
+
 Null and empty text have fingerprint zero, linked like any other. A row with a
-null doc_id gets a fingerprint, and the group of rows with the same one, but
-links nothing itself; without such rows its group is null.
+null doc_id links like any other but names nothing: a group of such rows alone
+has no name.
 """
 
 from __future__ import annotations
@@ -208,20 +212,26 @@ def near_links(prints: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
 
 
 def _groups(marked: DataFrame, shard_rows: int) -> DataFrame:
-    """(print_bits, component_id) of every fingerprint in ``marked`` (doc_id, bits)."""
+    """(print_bits, doc, group) of every fingerprint in ``marked`` (doc_id, bits).
+
+    ``doc`` is the smallest doc_id of the fingerprint's rows, ``group`` the
+    smallest fingerprint that links reach.
+    """
     prints = stage(marked.groupBy("bits").agg(F.min("doc_id").alias("doc")), "distinct-fingerprints")
-    known = prints.filter("doc IS NOT NULL")
-    groups = connected_components(near_links(known, shard_rows))
-    return known.join(groups, F.col("doc") == F.col("vertex"), "left").select(
-        F.col("bits").alias("print_bits"), F.coalesce("component", "doc").alias("component_id")
+    vertices = prints.select("bits", F.col("bits").alias("doc"))
+    groups = connected_components(near_links(vertices, shard_rows))
+    return prints.join(groups, F.col("bits") == F.col("vertex"), "left").select(
+        F.col("bits").alias("print_bits"), "doc", F.coalesce("component", "bits").alias("group")
     )
 
 
 def near_duplicates(docs: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(doc_id, bits, component_id) of every row of ``docs`` (doc_id, text)."""
     marked = stage(docs.select(F.col("doc_id").cast("long"), fingerprint("text").alias("bits")), "fingerprints")
-    groups = _groups(marked, shard_rows)
-    return marked.join(groups, F.col("bits") == F.col("print_bits"), "left").select(
+    groups = stage(_groups(marked, shard_rows), "groups")
+    names = stage(groups.groupBy("group").agg(F.min("doc").alias("component_id")), "group-names")
+    named = stage(groups.join(names, "group").select("print_bits", "component_id"), "named-fingerprints")
+    return marked.join(named, F.col("bits") == F.col("print_bits"), "left").select(
         "doc_id", "bits", "component_id"
     )
 
@@ -231,16 +241,17 @@ def one_of_each(docs: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
 
     It is a row with the group's smallest doc_id; of rows that share it, the
     one whose columns hash lowest, once if rows are equal. Rows without doc_id
-    stand for themselves by their fingerprint if no other row has it.
+    are kept only from groups that have no other rows.
     """
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if "map<" not in dict(docs.dtypes)[c]])
+    # Nulls add nothing to a hash, so the text comes first: rows of equal hash have equal texts.
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text" and "map<" not in dict(docs.dtypes)[c]]
+    row = F.xxhash64(F.col("text").isNull(), F.col("text"), *others)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row.alias("row"))
     marked = stage(slim.select("doc_id", "row", fingerprint("text").alias("bits")), "marked-rows")
-    groups = _groups(marked, shard_rows)
+    groups = _groups(marked, shard_rows).select("print_bits", "group")
     in_groups = marked.join(groups, F.col("bits") == F.col("print_bits"), "left")
-    # Without a component the fingerprint itself names the group.
     chosen = (
-        in_groups.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("bits")).alias("b"))
+        in_groups.groupBy("group")
         .agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))).alias("m"))
         .select(F.col("m.doc_id").alias("kept_id"), F.col("m.row").alias("kept_row"))
         .distinct()

@@ -215,3 +215,44 @@ def test_repeated_rows_leave_one(spark, hard):
     # Null, empty and blank texts share fingerprint zero.
     assert [r[0] for r in kept if not (r[1] or "").strip()] == [0]
     assert len([r for r in kept if r[0] is None]) == 1
+
+
+@pytest.fixture(scope="module")
+def shared_ids(spark) -> tuple[list[tuple], list[int]]:
+    """Rows of unrelated texts under one doc_id, near copies under others and none; the group of each."""
+    draw = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(400)]
+
+    def text() -> str:
+        return " ".join(draw.choice(words, 400))
+
+    a, b, c, d, alone = (text() for _ in range(5))
+    rows = [(5, a), (5, b), (9, f"{a} x"), (4, f"{b} x"), (7, c), (None, f"{c} x y z"), (None, d), (None, f"{d} x")]
+    rows += [(5, alone), (None, alone), (3, None), (None, "")]
+    return rows, [0, 1, 0, 1, 2, 2, 3, 3, 4, 4, 5, 5]
+
+
+def test_texts_under_one_id_are_not_linked(spark, shared_ids, tmp_path):
+    rows, groups = shared_ids
+    prints = [brute.fingerprint(t) for _, t in rows]
+    assert brute.components(prints, groups) == groups and len(set(prints[:8])) == 8
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    names = brute.components(prints, [np.inf if i is None else i for i, _ in rows])
+    assert names == [5, 4, 5, 4, 7, 7, np.inf, np.inf, 5, 5, 3, 3]
+    expected = [(i, f"{p:016x}", None if n == np.inf else n) for (i, _), p, n in zip(rows, prints, names)]
+    found = result(spark, str(tmp_path), "op8_simhash", "doc_id", "fingerprint", "component_id")
+    assert found == ordered(expected)
+
+
+def test_texts_under_one_id_are_kept(spark, shared_ids):
+    rows, groups = shared_ids
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [rows.index(tuple(r)) for r in simhash.one_of_each(docs).collect()]
+    assert sorted(groups[i] for i in kept) == [0, 1, 2, 3, 4, 5]
+    assert sorted(i for i in kept if i not in (6, 7)) == [0, 3, 4, 8, 10]
+
+
+def test_rows_that_hash_alike_but_for_nulls_are_kept(spark):
+    text = "some words that are here once"
+    docs = spark.createDataFrame([(1, text, None), (1, None, text)], "doc_id long, text string, lang string")
+    assert simhash.one_of_each(docs).count() == 2
