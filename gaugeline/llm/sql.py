@@ -1,7 +1,8 @@
 """SQL for the operators that it can express; the others are tested by brute force.
 
 The engine has no XXH64, byte-pair encoding, model fitting or file writing, so
-operators 2, 3, 4, 7, 8, 9, 10 and the pipeline have none.
+operators 2, 3, 4, 7, 8, 9, 10 and the pipeline have none, nor has packing
+(12), which has many right results.
 """
 
 from __future__ import annotations
@@ -123,8 +124,137 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(hits.n, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN hits USING (r) LEFT JOIN owners USING (r)
 """
 
+# The checksum's table: CTE crc, one row, one list of 256.
+_CRC_TABLE = """
+crc AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab
+  FROM (SELECT unnest(range(256))::BIGINT AS i)
+)"""
+
+
+def _crc32(text: str) -> str:
+    """crc32 of an ASCII text, where ``tab`` is in scope."""
+    return f"""xor(4294967295, list_reduce(
+      list_concat([4294967295::BIGINT], list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)),
+      lambda c, b: xor(c >> 8, tab[1 + (xor(c, b) & 255)])))"""
+
+
+_RUNS = rf"""
+WITH {_CRC_TABLE},
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+    CASE WHEN doc_id IS NULL THEN 1 ELSE {_crc32("doc_id::VARCHAR")} END AS h
+  FROM documents, crc
+),
+e AS (SELECT *, len(ws) AS n, h // 10 AS g FROM d),
+f AS (SELECT *, CASE WHEN n > 0 THEN g % n ELSE 0 END AS a FROM e),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM f),
+x AS (
+  SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(n), lambda i: ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE ws END AS ws
+  FROM p
+),
+w AS (SELECT r, unnest(range(n)) AS i, unnest(ws) AS word FROM x),
+same AS (
+  SELECT a.r, b.i - a.i AS q, a.i, a.i - row_number() OVER (PARTITION BY a.r, b.i - a.i ORDER BY a.i) AS island
+  FROM w AS a JOIN w AS b ON a.r = b.r AND a.word = b.word AND a.i < b.i
+),
+stretches AS (
+  SELECT r, q, min(i) AS s, max(i) + 1 + q AS e FROM same GROUP BY r, q, island
+  HAVING count(*) + q >= greatest(12, 2 * q)
+),
+runs AS (SELECT r, s, e, min(q) AS q FROM stretches GROUP BY r, s, e),
+kept AS (
+  SELECT w.r, w.i, w.word FROM w
+  WHERE NOT EXISTS (SELECT 1 FROM runs WHERE runs.r = w.r AND w.i >= runs.s + runs.q AND w.i < runs.e)
+),
+t AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS body FROM kept GROUP BY r),
+u AS (
+  SELECT r, count(*) AS n_runs, string_agg(s || ',' || (e - s) || ',' || q || chr(10), '' ORDER BY s, q) AS listed,
+    arg_max((s, e - s, q), (e - s, -s, -q)) AS best
+  FROM runs GROUP BY r
+)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best[1]::BIGINT AS start, best[2]::BIGINT AS length,
+  best[3]::BIGINT AS period, (1000 * best[2] // best[3])::BIGINT AS exponent_milli,
+  sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
+FROM x LEFT JOIN u USING (r) LEFT JOIN t USING (r)
+"""
+
+# What came last: 0 nothing, 1 system, 2 user, 3 assistant.
+_REPAIR = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+c AS (SELECT row_number() OVER () AS r, conv_id FROM (SELECT DISTINCT conv_id FROM conversations)),
+d AS (
+  SELECT r, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("coalesce(t.conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS fault
+  FROM conversations AS t JOIN c ON t.conv_id IS NOT DISTINCT FROM c.conv_id, crc
+),
+e AS (
+  SELECT r, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN fault = 0 THEN [] WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS again
+  FROM d
+),
+f AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY turn NULLS FIRST, role, text, again) AS i,
+    row_number() OVER (PARTITION BY r, role, text ORDER BY turn NULLS FIRST, again) AS copy,
+    left(role, 1) AS initial, right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS ending
+  FROM e
+),
+g AS (
+  SELECT *, ending = '' AS blank, ending <> '' AND copy > 1 AS duplicate,
+    ending <> '' AND copy = 1 AND ending NOT IN ('.', '!', '?') AS truncated,
+    i > 1 AND lag(initial) OVER (PARTITION BY r ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS illegal
+  FROM f
+),
+ins(p, q, cost, audit, body) AS (
+  VALUES (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+    (0, 2, 5, 'I', chr(10) || 'user:'), (1, 2, 5, 'I', chr(10) || 'user:'), (3, 2, 5, 'I', chr(10) || 'user:'),
+    (2, 3, 5, 'I', chr(10) || 'assistant:'),
+    (0, 3, 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+    (1, 3, 10, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')
+),
+steps(initial, p, q) AS (VALUES ('s', 0, 1), ('u', 0, 2), ('u', 1, 2), ('u', 3, 2), ('a', 2, 3)),
+edits AS (
+  SELECT r, i, unnest([0, 1, 2, 3]) AS p, unnest([0, 1, 2, 3]) AS q, 2 AS cost, 'D' AS audit, '' AS body FROM g
+  UNION ALL
+  SELECT r, i, p, q, 1 + 5 * truncated::INT, 'R', chr(10) || CASE q WHEN 2 THEN 'user:' ELSE 'assistant:' END || text
+  FROM g, steps WHERE steps.initial <> 's' AND NOT blank AND NOT duplicate
+  UNION ALL
+  SELECT r, i, p, q, 5 * truncated::INT, 'K', chr(10) || role || ':' || text
+  FROM g JOIN steps USING (initial) WHERE NOT blank AND NOT duplicate
+),
+path AS (
+  SELECT r, 0::BIGINT AS i, 0 AS q, (0, '', '') AS best FROM c
+  UNION ALL
+  SELECT path.r, edits.i, edits.q,
+    min((best[1] + ins.cost + edits.cost, best[2] || ins.audit || edits.audit, best[3] || ins.body || edits.body))
+  FROM path JOIN ins ON ins.p = path.q JOIN edits ON edits.r = path.r AND edits.i = path.i + 1 AND edits.p = ins.q
+  GROUP BY path.r, edits.i, edits.q
+),
+n AS (
+  SELECT r, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+    count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM g GROUP BY r
+),
+done AS (
+  SELECT path.r, min((best[1] + cost, best[2] || audit, best[3] || body)) AS best
+  FROM path LEFT JOIN n USING (r) JOIN ins ON ins.p = path.q
+  WHERE path.i = coalesce(n.n, 0) AND (ins.q = 0 OR ins.q = 3) GROUP BY path.r
+)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, best[1]::BIGINT AS cost, best[2] AS audit,
+  sha256(substr(best[3], 2)) AS repaired_sha256
+FROM c LEFT JOIN n USING (r) JOIN done USING (r)
+"""
+
 SQL: dict[str, str] = {
     "op1_quality_rules": _QUALITY,
     "op5_secret_scan": _SECRETS,
     "op6_decontaminate": _CONTAMINATION,
+    "op11_periodic_runs": _RUNS,
+    "op13_conversation_repair": _REPAIR,
 }

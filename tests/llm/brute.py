@@ -155,3 +155,103 @@ def kneser_ney(rows: list[tuple]) -> list[tuple]:
         base = sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ts)
         out.append((h, len(ts), sum(c[w] > 0 for w in ts), n, base, sum(math.log10(p(a, w)) for a, w in zip([0, *ts], ts))))
     return out
+
+
+def with_periods(doc_id: int | None, text: str | None) -> list[str]:
+    words = re.findall(WORD, text or "")
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i if i < a else a + (i - a) % p] for i in range(n)]
+
+
+def runs(words: list[str]) -> list[tuple[int, int, int]]:
+    """(start, length, period), period by period."""
+    number: dict = {}
+    ids = np.array([number.setdefault(w, len(number)) for w in words], int)
+    smallest: dict = {}
+    for q in range(1, len(ids) // 2 + 1):
+        same = np.concatenate([[0], ids[q:] == ids[:-q], [0]]).astype(np.int8)
+        edges = np.flatnonzero(np.diff(same))
+        for at, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
+            if end + q - at >= max(12, 2 * q):
+                smallest.setdefault((at, end + q), q)
+    return sorted(((s, e - s, q) for (s, e), q in smallest.items()), key=lambda r: (r[0], r[2]))
+
+
+def periodic(doc_id: int | None, text: str | None) -> tuple:
+    words = with_periods(doc_id, text)
+    found = runs(words)
+    gone = {i for s, length, q in found for i in range(s + q, s + length)}
+    best = max(found, key=lambda r: (r[1], -r[0], -r[2]), default=(None, None, None))
+    milli = 1000 * best[1] // best[2] if found else None
+    listed = "".join(f"{s},{length},{q}\n" for s, length, q in found)
+    return len(found), *best, milli, sha(listed), sha(" ".join(w for i, w in enumerate(words) if i not in gone))
+
+
+def damaged(rows: list[tuple]) -> dict:
+    """Turns (turn, role, text) of every conversation after damage, in order."""
+    out = defaultdict(list)
+    for conv, turn, role, text in rows:
+        held = out[conv]
+        role, text = (" " if v is None else v for v in (role, text))
+        names = ("" + str(v) if v is not None else " " for v in (conv, turn))
+        fault = zlib.crc32(":".join(names).encode()) % 20
+        if fault == 0:
+            continue
+        text = "" if fault == 1 else re.sub("[.!?]", "", text) if fault == 2 else text
+        held += [(turn, "user" if fault == 4 else role, text)] * (2 if fault == 3 else 1)
+    for held in out.values():
+        held.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+    return dict(out)
+
+
+def repairs(rows: list[tuple]) -> tuple:
+    """The contract's columns after conv_id, by dynamic programming from turn to turn."""
+    kinds, seen = [], set()
+    for _, role, text in rows:
+        said = re.sub(r"[\x20\x09-\x0D]", "", text)
+        fault = "blank" if not said else "duplicate" if (role, text) in seen else None if said[-1] in ".!?" else "truncated"
+        seen.add((role, text))
+        kinds.append(fault)
+    # (cost, audit, lines) by what came last: nothing, s, u or a.
+    best = {"": (0, "", ())}
+
+    def inserted(states: dict) -> dict:
+        states = dict(states)
+        for _ in range(2):
+            for last, (cost, audit, lines) in list(states.items()):
+                role = "assistant" if last == "u" else "user"
+                new = (cost + 5, audit + "I", (*lines, f"{role}:"))
+                if role[0] not in states or new < states[role[0]]:
+                    states[role[0]] = new
+        return states
+
+    for (_, role, text), fault in zip(rows, kinds):
+        after: dict = {}
+
+        def offer(last: str, found: tuple) -> None:
+            if last not in after or found < after[last]:
+                after[last] = found
+
+        for last, (cost, audit, lines) in inserted(best).items():
+            offer(last, (cost + 2, audit + "D", lines))
+            if fault in ("blank", "duplicate"):
+                continue
+            more = 5 if fault else 0
+            needed = "assistant" if last == "u" else "user"
+            offer(needed[0], (cost + 1 + more, audit + "R", (*lines, f"{needed}:{text}")))
+            if role[:1] == needed[0] or (role[:1] == "s" and last == ""):
+                offer(role[0], (cost + more, audit + "K", (*lines, f"{role}:{text}")))
+        best = after
+    final = inserted(best)
+    cost, audit, lines = min(final[last] for last in ("", "a") if last in final)
+    turns = {t for t, _, _ in rows if t is not None}
+    gaps = min(max(turns) - min(turns) + 1 - len(turns), (1 << 63) - 1) if turns else 0
+    initials = [role[:1] for _, role, _ in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+    counts = (sum(k == f for k in kinds) for f in ("blank", "duplicate", "truncated"))
+    return gaps, *counts, illegal, cost, audit, sha("\n".join(lines))

@@ -24,6 +24,19 @@ TEXTS = {
     "insult": "you are a st*pid m0r0n and an i d i o t, stuuuupid",
 }
 
+TURN_SCHEMA = "conv_id long, turn long, role string, text string"
+
+# Turns with nulls anywhere, repeated rows, several rows of one turn, blanks and odd roles.
+TURNS = [
+    *((c, t, r, x) for c in range(40) for t, (r, x) in enumerate((("system", "Be kind."), ("user", "Hi?"), ("assistant", "Hello!")))),
+    *((50, t, ("user", "assistant")[t % 2], f"Turn {t}.") for t in range(60)),
+    *((51, 0, "user", "Same.") for _ in range(5)),
+    *((52, t, None, None) for t in (None, 1, 1, None)),
+    *((None, t, r, "Who?") for t, r in ((None, "user"), (3, "assistant"), (-(1 << 63), "tool"), ((1 << 63) - 1, ""))),
+    *((53, t, r, x) for t, r, x in ((2, "assistant", "cut off"), (2, "assistant", "b."), (7, "user", "\t\n"), (9, "assistant", "日本!"))),
+    *((60 + c, 0, "assistant", "Alone") for c in range(30)),
+]
+
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -62,6 +75,8 @@ def table_dir(spark, hard, tmp_path_factory):
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     items = [(0, "lorem ipsum dolor"), (1, None), (2, ""), (2, "same line here"), (None, "word")]
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    turns = spark.createDataFrame(TURNS, TURN_SCHEMA)
+    turns.selectExpr("*", "1 AS kind", "'x' AS segment", "2 AS rank", "3 AS cost").write.parquet(f"{folder}/conversations.parquet")
     return folder
 
 
@@ -69,6 +84,7 @@ def table_dir(spark, hard, tmp_path_factory):
 def empty_dir(spark, empty, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("empty"))
     empty.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], TURN_SCHEMA).write.parquet(f"{folder}/conversations.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     return folder

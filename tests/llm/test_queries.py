@@ -50,7 +50,7 @@ def connect_any(folder: str):
     if os.path.isfile(f"{folder}/documents.parquet"):
         return connect(folder)
     connection = duckdb.connect()
-    for name in ("documents", "labels", "benchmark"):
+    for name in ("documents", "labels", "benchmark", "conversations"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{folder}/{name}.parquet/*.parquet')")
     return connection
 
