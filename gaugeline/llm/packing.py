@@ -160,7 +160,8 @@ def minimum_hashes(ids: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
     found = []
     for salt in _SALTS:
         table = mixed(np.arange(int(ids.max(initial=0)) + 1, dtype=np.uint64) * salt + salt)
-        found.append(np.minimum.reduceat(table[ids], opens).view(np.int64))
+        # Mixed again, or long documents, whose minima are small, would come first together.
+        found.append(mixed(np.minimum.reduceat(table[ids], opens)).view(np.int64))
     return found
 
 
