@@ -13,7 +13,7 @@ from gaugeline.functions.rounding import round_to
 from gaugeline.operators.stage import stage_path
 from gaugeline.plans.load import json_field
 from gaugeline.plans.staging import from_imperial
-from gaugeline.sources.landed import explode_features, read_feature_collections, read_station_pages
+from gaugeline.sources.landed import explode_features, page_links, read_feature_collections, read_station_pages
 
 # Features in one landed collection, at most.
 PAGE_ROWS = 500
@@ -128,6 +128,30 @@ def station_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_station_pages(spark, path, one_per_file=False)
 
 
+def linked_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(links, starts) of chains of fifty pages, read back from landed JSON text.
+
+    Each page names the page of the next id. In every third chain one leads back, in
+    every second one leads to a page that was not landed.
+    """
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    number = F.col("page_id")
+    target = F.when(number % 50 == 49, None).when(number % 150 == 110, number - 7).otherwise(number + 1)
+    following = pages.select(number.alias("target"), F.col("url").alias("following"))
+    linked = pages.withColumn("target", target).join(following, "target", "left")
+    document = F.struct(
+        F.col("url").alias("page"),
+        F.array("url").alias("observationStations"),
+        F.struct(
+            F.when(number % 100 == 20, F.concat("url", F.lit("/gone"))).otherwise(F.col("following")).alias("next")
+        ).alias("pagination"),
+    )
+    path = stage_path(spark, "landed-chain")
+    linked.select(F.to_json(document).alias("value")).write.text(path)
+    starts = pages.filter(number % 50 == 0).select(F.col("url").alias("page"))
+    return page_links(read_station_pages(spark, path, one_per_file=False)), starts
+
+
 def charged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with ``charge``, a reading of many decimals."""
     charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))

@@ -14,14 +14,15 @@ from checks import adapter
 from checks.adapter import staged, table
 from gaugeline.functions.rounding import round_to
 from gaugeline.functions.text import after_marker, last_segment
-from gaugeline.operators import mutate, order_stats, quality
+from gaugeline.operators import chains, mutate, order_stats, quality, sketches, spread
 from gaugeline.operators.ordering import number_rows
+from gaugeline.operators.skew import null_safe_join
 from gaugeline.operators.stage import stage, stage_path
 from gaugeline.operators.zscore import group_spread
-from gaugeline.plans import analytics, load, marts, runstats, staging
+from gaugeline.plans import analytics, load, marts, refresh, runstats, staging
 from gaugeline.schemas import METRIC_RAW
 from gaugeline.sources import landed, tables
-from gaugeline.streaming import dedup, ingest, rollup
+from gaugeline.streaming import dedup, deliveries, ingest, rollup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -167,6 +168,12 @@ def rolling_avg(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return _rounded(rolled, 6, "rolling_24h_avg")
 
 
+def rolling_24h_range(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    """Over the last 24 hours, whatever the number of rows."""
+    rolled = analytics.rolling_day(staged(spark, sf_dir), ("event_id",), value="humidity_pct", **options)
+    return _rounded(rolled, 6, "rolling_24h_avg")
+
+
 def rolling_avg_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolling_avg(spark, sf_dir, stations=["ST1", "ST2", "ST3"])
 
@@ -185,6 +192,43 @@ def monthly_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(result, 4, "median_temp", "p95_wind", "avg_temp_humid")
 
 
+def approx_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations per condition by sketches stored per day and united, beside the exact number."""
+    rows = marts.with_time_parts(staged(spark, sf_dir))
+    path = stage_path(spark, "distinct-sketches")
+    sketches.distinct_sketches(rows, ["condition", "observation_date"], "station_id").write.parquet(path)
+    united = sketches.united_sketches(spark.read.parquet(path), ["condition"])
+    exact = rows.groupBy("condition").agg(F.count_distinct("station_id").alias("stations"))
+    off = F.abs(sketches.distinct_estimate(F.col("sketch")) - F.col("stations"))
+    return united.join(exact, "condition").select(
+        "condition", "n_rows", "stations", (off <= sketches.distinct_error() * F.col("stations")).alias("within")
+    )
+
+
+def approx_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Percentiles by sketches stored per supplier and day and merged by month, with their ranks."""
+    rows = adapter.charged(spark, sf_dir).select(
+        "l_suppkey", F.to_date("l_shipdate").alias("day"), F.month("l_shipdate").cast("long").alias("month"), "charge"
+    )
+    path = stage_path(spark, "quantile-sketches")
+    sketches.quantile_sketches(rows, ["l_suppkey", "month", "day"], ["charge"]).write.parquet(path)
+    merged = sketches.merged_quantiles(spark.read.parquet(path), ["l_suppkey", "month"])
+    shares = {"median": 0.5, "p95": 0.95}
+    found = merged.select(
+        "l_suppkey", "month", *(sketches.sketched_percentile("charge", p).alias(n) for n, p in shares.items())
+    )
+    ranked = null_safe_join(rows, stage(found, "percentiles"), ["l_suppkey", "month"], "inner")
+
+    def within(name: str, p: float):
+        below, upto = F.avg((F.col("charge") < F.col(name)).cast("int")), F.avg((F.col("charge") <= F.col(name)).cast("int"))
+        error = sketches.rank_error()
+        return ((below <= p + error) & (upto >= p - error)).alias(f"{name}_within")
+
+    return ranked.groupBy("l_suppkey", "month").agg(
+        F.count(F.lit(1)).alias("n_rows"), *(within(n, p) for n, p in shares.items())
+    )
+
+
 def load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With readings that staging does not round."""
     stats = analytics.load_stats(staged(spark, sf_dir), value="humidity_pct")
@@ -252,6 +296,18 @@ def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.unionByName(loaded)
 
 
+def load_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults counted while documents are written, beside the rows read back."""
+    path = stage_path(spark, "observations")
+    counts = load.land_observations(adapter.feature_documents(spark, sf_dir, faulty=True), path)
+    written = load.read_marked(spark, path)
+    read = written.agg(
+        F.count_if("accepted").alias("loaded"), F.count_if(~F.col("accepted")).alias("rejected")
+    ).unpivot([], ["loaded", "rejected"], "measure", "rows_read")
+    counted = spark.createDataFrame(sorted(counts.items()), "measure string, row_count long")
+    return counted.join(read, "measure", "left")
+
+
 def station_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.page_stations(adapter.station_documents(spark, sf_dir))
 
@@ -261,12 +317,70 @@ def page_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return following.withColumn("cursor", after_marker(F.col("next_page"), "page="))
 
 
+def page_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages in the order of their chains, and where chains break."""
+    return chains.follow_chain(*adapter.linked_pages(spark, sf_dir))
+
+
+def chain_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chains.chain_summary(page_chain(spark, sf_dir))
+
+
 def url_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select(
         "page_id", "url", last_segment(F.col("url")).alias("station_id")
     )
 
 
+# --- marts by increments -----------------------------------------------------
+
+# Landings of events in the order they come: two in time order, then late rows of all days.
+LANDINGS = 3
+
+
+def _landing(time: str = "observation_timestamp"):
+    late = F.col("event_id") % 7 == 0
+    return F.when(late, 2).when(F.col(time) < F.lit("2024-01-16").cast("timestamp_ntz"), 0).otherwise(1)
+
+
+def _landings(df: DataFrame) -> list[DataFrame]:
+    return [df.filter(_landing() == number) for number in range(LANDINGS)]
+
+
+def refresh_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily mart after three landings, each of which touches some of its days."""
+    rows = stage(refresh.with_day(marts.with_time_parts(staged(spark, sf_dir))), "observations")
+    namespace, name = _new_table(spark, rows, ("day",))
+    mart = f"{namespace}.daily"
+    model = refresh.with_day(marts.daily_weather(rows.limit(0)), "observation_date")
+    tables.create_table(spark, mart, model.schema, stage_path(spark, "daily-mart"), ("day",))
+    for landing in _landings(rows):
+        tables.append_rows(landing, name)
+        refresh.refresh_daily(spark, name, mart, landing)
+    return _kept(spark, namespace, tables.read_table(spark, mart).drop("day"))
+
+
+def fact_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers after three landings, the second of which brings rows of the first again."""
+    rows = stage(staged(spark, sf_dir), "observations")
+    first, second, late = _landings(rows)
+    model = refresh.with_day(marts.fact_observations(rows.limit(0), ["event_id"], keep=("event_id",)))
+    namespace, name = _new_table(spark, model, ("day",))
+    again = first.filter("event_id % 5 = 0")
+    for landing in (first, second.unionByName(again), late, late):
+        refresh.fact_increment(spark, name, landing, ["event_id"], ["event_id"])
+    return _kept(spark, namespace, tables.read_table(spark, name).drop("day"))
+
+
+def daily_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean and deviation per station from pieces stored per station and day."""
+    path = stage_path(spark, "daily-spread")
+    dated = marts.with_time_parts(staged(spark, sf_dir))
+    spread.spread_pieces(dated, ["station_id", "observation_date"], "temperature_degC").write.parquet(path)
+    merged = spread.finished_spread(spread.merge_spread(spark.read.parquet(path), ["station_id"]))
+    return _rounded(merged, 6, "avg_temp", "stddev_temp")
+
+
 # --- tables and changes -----------------------------------------------------
 
 
@@ -550,6 +664,39 @@ def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zoneless(rollup.read_partials(spark, target), "observation_date")
 
 
+def stream_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anomalies by the mean and deviation of pieces that three runs of a stream left; two are merged."""
+    rows = stage(staged(spark, sf_dir), "observations")
+    target, checkpoint = stage_path(spark, "spread"), stage_path(spark, "spread-checkpoint")
+    path = stage_path(spark, "landed-events")
+    stored = ["station_id", "location"]
+    for number, landing in enumerate(_landings(rows)):
+        landing.write.mode("append").parquet(path)
+        stream = ingest.file_stream(spark, path, rows.schema)
+        rollup.land_spread(stream, stored, "temperature_degC", target, checkpoint)
+        if number == 1:
+            rollup.merge_batches(spark, target, merge=rollup.added_spread(stored))
+    known = rollup.read_spread(spark, target, ["station_id"])
+    found = analytics.anomaly_detection(rows, row_key="event_id", spread=known)
+    return _rounded(found, 6, "avg_temp", "stddev_temp", "temp_z_score")
+
+
+def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of three runs: rows again, some of them too late, then late rows of all days."""
+    events = stage(table(spark, sf_dir, "events"), "events")
+    first, second, late = (events.filter(_landing("ts") == number) for number in range(LANDINGS))
+    path, target, checkpoint = (stage_path(spark, n) for n in ("landed-events", "deliveries", "deliveries-checkpoint"))
+    for landing in (first, second.unionByName(first.filter("event_id % 5 = 0")), late.unionByName(late.limit(0))):
+        landing.write.mode("append").parquet(path)
+        stream = ingest.file_stream(spark, path, events.schema)
+        deliveries.land_deliveries(stream, ["event_id"], "ts", 2 * 86_400, target, checkpoint)
+    counts = deliveries.read_counts(spark, target)
+    times = deliveries.read_landed(spark, target, stream).agg(
+        F.count(F.lit(1)).alias("landed_rows"), F.count_distinct("event_id").alias("landed_keys")
+    )
+    return counts.join(times)
+
+
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of which the purchases are delivered twice."""
     events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -582,6 +729,10 @@ QUERIES: dict[str, Query] = {
     "rolling_avg": rolling_avg,
     "rolling_avg_split": partial(rolling_avg, hot_rows=SPLIT_ROWS),
     "rolling_avg_stations": rolling_avg_stations,
+    "rolling_24h_range": rolling_24h_range,
+    "rolling_24h_range_split": partial(rolling_24h_range, hot_rows=SPLIT_ROWS),
+    "approx_stations": approx_stations,
+    "approx_percentiles": approx_percentiles,
     "monthly_percentiles": monthly_percentiles,
     "monthly_percentiles_split": partial(_by_range_sort, monthly_percentiles, 5),
     "load_stats": load_stats,
@@ -593,9 +744,15 @@ QUERIES: dict[str, Query] = {
     "flatten_observations": flatten_observations,
     "load_observations": load_observations,
     "load_rejects": load_rejects,
+    "load_quality": load_quality,
     "station_pages": station_pages,
     "page_cursor": page_cursor,
+    "page_chain": page_chain,
+    "chain_report": chain_report,
     "url_key": url_key,
+    "refresh_daily": refresh_daily,
+    "fact_increment": fact_increment,
+    "daily_spread": daily_spread,
     "append_rows": append_rows,
     "overwrite_rows": overwrite_rows,
     "overwrite_partitioned": overwrite_partitioned,
@@ -622,5 +779,7 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": stream_ingest,
     "stream_daily": stream_daily,
     "stream_rollup": stream_rollup,
+    "stream_anomalies": stream_anomalies,
+    "stream_late": stream_late,
     "stream_dedup": stream_dedup,
 }

@@ -82,6 +82,11 @@ FROM staged {where}
 WINDOW w AS (PARTITION BY station_id ORDER BY observation_timestamp, event_id
              ROWS BETWEEN 23 PRECEDING AND CURRENT ROW)"""
 
+_ROLLING_DAY = """SELECT station_id, observation_timestamp, humidity_pct, event_id,
+       ROUND(AVG(humidity_pct) OVER (PARTITION BY station_id ORDER BY observation_timestamp
+         RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND CURRENT ROW), 6) AS rolling_24h_avg
+FROM staged"""
+
 _CHARGE = "(l_extendedprice * (1 - l_discount) * (1 + l_tax))"
 
 _MONTHLY = f"""SELECT l_suppkey, EXTRACT(MONTH FROM l_shipdate) AS month,
@@ -145,6 +150,30 @@ _REPORT = f"""{_RUN_STATS}, report AS (
          ROUND((c.median - v.median) / NULLIF(v.median, 0) * 100, 1) AS overhead_pct
   FROM stats v JOIN stats c ON v.query = c.query AND v.format = 'view' AND c.format = 'click')"""
 
+_CHAIN = """RECURSIVE links AS (
+  SELECT p.url AS page, CASE WHEN p.page_id % 100 = 20 THEN p.url || '/gone' ELSE n.url END AS next
+  FROM pages p LEFT JOIN pages n ON n.page_id = CASE WHEN p.page_id % 50 = 49 THEN NULL
+    WHEN p.page_id % 150 = 110 THEN p.page_id - 7 ELSE p.page_id + 1 END),
+walk AS (
+  SELECT url AS start, url AS page, 0::BIGINT AS position, [url] AS seen FROM pages WHERE page_id % 50 = 0
+  UNION ALL
+  SELECT start, n.page, position + 1, list_append(seen, n.page)
+  FROM walk JOIN links l ON walk.page = l.page JOIN links n ON n.page = l.next
+  WHERE NOT list_contains(seen, n.page)),
+walked AS (
+  SELECT w.start, l.page, l.next, w.position, FALSE AS differing,
+         CASE WHEN w.position IS NULL THEN 'unreachable' WHEN l.next IS NULL THEN 'last'
+              WHEN l.next NOT IN (SELECT page FROM links) THEN 'missing'
+              WHEN n.position = w.position + 1 THEN 'followed' ELSE 'cycle' END AS status
+  FROM links l LEFT JOIN walk w ON w.page = l.page
+  LEFT JOIN walk n ON n.start = w.start AND n.page = l.next)"""
+
+_LANDED = """CASE WHEN event_id % 7 = 0 THEN 2 WHEN observation_timestamp < '2024-01-16' THEN 0 ELSE 1 END"""
+
+_ANOMALIES = f"""SELECT o.event_id, o.observation_timestamp, o.station_id, o."temperature_degC",
+       ROUND(s.avg_temp, 6) AS avg_temp, ROUND(s.stddev_temp, 6) AS stddev_temp, ROUND({_Z}, 6) AS temp_z_score
+FROM staged o JOIN spread s ON o.station_id = s.station_id WHERE {_Z} > 2"""
+
 SQL: dict[str, str] = {
     "stg_observations": f"WITH {_STAGED} SELECT * FROM staged",
     "fact_observations": f"WITH {_FACT} SELECT * FROM fact",
@@ -191,10 +220,7 @@ WHERE event_type = 'view' AND ts >= '2024-01-08' AND ts < '2024-01-15'""",
        ROUND(MAX(l_quantity), 2) AS max_wind,
        {_mean("l_tax", 2)} AS avg_pressure
 FROM lineitem GROUP BY l_suppkey, DATE_TRUNC('day', l_shipdate)""",
-    "anomaly_detection": f"""WITH {_STAGED}, {_SPREAD}
-SELECT o.event_id, o.observation_timestamp, o.station_id, o."temperature_degC",
-       ROUND(s.avg_temp, 6) AS avg_temp, ROUND(s.stddev_temp, 6) AS stddev_temp, ROUND({_Z}, 6) AS temp_z_score
-FROM staged o JOIN spread s ON o.station_id = s.station_id WHERE {_Z} > 2""",
+    "anomaly_detection": f"WITH {_STAGED}, {_SPREAD} {_ANOMALIES}",
     "station_dimension": f"""SELECT c_custkey, c_name, c_nationkey,
        COUNT(*) AS total_observations, MIN(o_orderdate) AS first_observation,
        MAX(o_orderdate) AS last_observation, {_mean("o_totalprice / 7", 6)} AS avg_temp
@@ -204,6 +230,13 @@ GROUP BY c_custkey, c_name, c_nationkey""",
     "rolling_avg_split": f"WITH {_STAGED} " + _ROLLING.format(where=""),
     "rolling_avg_stations": f"WITH {_STAGED} "
     + _ROLLING.format(where="WHERE station_id IN ('ST1', 'ST2', 'ST3')"),
+    "rolling_24h_range": f"WITH {_STAGED} {_ROLLING_DAY}",
+    "rolling_24h_range_split": f"WITH {_STAGED} {_ROLLING_DAY}",
+    "approx_stations": f"""WITH {_STAGED}
+SELECT condition, COUNT(*) AS n_rows, COUNT(DISTINCT station_id) AS stations, TRUE AS within
+FROM staged GROUP BY condition""",
+    "approx_percentiles": """SELECT l_suppkey, EXTRACT(MONTH FROM l_shipdate) AS month, COUNT(*) AS n_rows,
+       TRUE AS median_within, TRUE AS p95_within FROM lineitem GROUP BY 1, 2""",
     "monthly_percentiles": _MONTHLY,
     "monthly_percentiles_split": _MONTHLY,
     "load_stats": f"""WITH {_STAGED}
@@ -234,10 +267,33 @@ SELECT CASE WHEN homeless AND unread THEN 'station_id is missing; temperature_de
             WHEN homeless THEN 'station_id is missing'
             WHEN unread THEN 'temperature_degC is no double' ELSE 'loaded' END, COUNT(*)
 FROM landed WHERE NOT broken GROUP BY 1""",
+    "load_quality": """WITH landed AS (
+  SELECT user_id % 50 = 0 AS broken, event_id % 97 = 0 AS homeless, event_type = 'error' AS unread,
+         user_id, event_id // 500 AS page FROM events),
+broken AS (SELECT COUNT(*) AS n FROM (SELECT DISTINCT user_id, page FROM landed WHERE broken)),
+counts AS (
+  SELECT 'loaded' AS measure, COUNT(*) FILTER (NOT homeless AND NOT unread) AS row_count FROM landed WHERE NOT broken
+  UNION ALL
+  SELECT 'rejected', (SELECT n FROM broken) + COUNT(*) FILTER (homeless OR unread) FROM landed WHERE NOT broken
+  UNION ALL SELECT 'unreadable document', n FROM broken WHERE n > 0
+  UNION ALL SELECT 'station_id is missing', COUNT(*) FROM landed WHERE NOT broken AND homeless HAVING COUNT(*) > 0
+  UNION ALL SELECT 'temperature_degC is no double', COUNT(*) FROM landed WHERE NOT broken AND unread HAVING COUNT(*) > 0)
+SELECT measure, row_count, CASE WHEN measure IN ('loaded', 'rejected') THEN row_count END AS rows_read FROM counts""",
     "station_pages": """SELECT url AS station_url,
        CASE WHEN contains(url, 'page=') THEN url END AS next_page FROM pages""",
     "page_cursor": """SELECT DISTINCT url AS next_page, split_part(url, 'page=', -1) AS cursor
 FROM pages WHERE contains(url, 'page=')""",
+    "page_chain": f"WITH {_CHAIN} SELECT * FROM walked",
+    "chain_report": f"""WITH {_CHAIN}
+SELECT start, status, COUNT(*) AS pages, MAX(position) AS furthest FROM walked GROUP BY start, status""",
+    "refresh_daily": f"WITH {_FACT} {_DAILY}",
+    "fact_increment": f"""WITH {_FACT}
+SELECT event_id, f.* REPLACE (
+  ROW_NUMBER() OVER (ORDER BY {_LANDED}, f.observation_timestamp, event_id) AS observation_id)
+FROM fact f JOIN (SELECT event_id, ROW_NUMBER() OVER (ORDER BY observation_timestamp, event_id) AS observation_id
+                  FROM staged) s USING (observation_id)""",
+    "daily_spread": f"""WITH {_STAGED}, {_SPREAD}
+SELECT station_id, ROUND(avg_temp, 6) AS avg_temp, ROUND(stddev_temp, 6) AS stddev_temp FROM spread""",
     "url_key": "SELECT page_id, url, split_part(url, '/', -1) AS station_id FROM pages",
     "append_rows": "SELECT * FROM orders",
     "overwrite_rows": "SELECT * FROM orders WHERE o_totalprice > 100000",
@@ -303,5 +359,20 @@ SELECT * REPLACE (ROUND(median, 4) AS median, ROUND(p95, 4) AS p95) FROM stats""
     "stream_ingest": "SELECT * FROM events",
     "stream_daily": f"WITH {_FACT} {_DAILY}",
     "stream_rollup": f"WITH {_FACT} {_DAILY}",
+    "stream_anomalies": f"WITH {_STAGED}, {_SPREAD} {_ANOMALIES}",
+    "stream_late": """WITH e AS (
+  SELECT event_id, ts, CASE WHEN event_id % 7 = 0 THEN 2 WHEN ts < '2024-01-16' THEN 0 ELSE 1 END AS batch FROM events),
+delivered AS (
+  SELECT batch, event_id, ts, FALSE AS again FROM e
+  UNION ALL SELECT 1, event_id, ts, TRUE FROM e WHERE batch = 0 AND event_id % 5 = 0),
+marks AS (
+  SELECT 0 AS batch, NULL::TIMESTAMP AS since
+  UNION ALL SELECT b, MAX(ts) - INTERVAL 2 DAY FROM e, (VALUES (1), (2)) v(b) WHERE batch < b GROUP BY b),
+marked AS (
+  SELECT batch, CASE WHEN ts < since THEN 'late' WHEN again THEN 'repeated' ELSE 'landed' END AS outcome
+  FROM delivered JOIN marks USING (batch)),
+landed AS (SELECT COUNT(*) AS n FROM marked WHERE outcome = 'landed')
+SELECT batch::BIGINT AS batch, outcome, COUNT(*) AS row_count, n AS landed_rows, n AS landed_keys
+FROM marked, landed GROUP BY batch, outcome, n""",
     "stream_dedup": "SELECT * FROM events",
 }

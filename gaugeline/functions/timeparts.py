@@ -41,6 +41,16 @@ def epoch_seconds(df: DataFrame, name: str) -> Column:
     return F.unix_seconds(ts)
 
 
+def epoch_micros(df: DataFrame, name: str) -> Column:
+    """Microseconds since 1970 as a bigint; a zone-less timestamp is taken as it reads."""
+    ts = F.col(name)
+    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
+        fraction = (F.date_part(F.lit("SECONDS"), ts) * 1_000_000).cast("bigint")
+        day = F.unix_date(F.to_date(ts)).cast("bigint")
+        return ((day * 24 + F.hour(ts)) * 60 + F.minute(ts)) * 60_000_000 + fraction
+    return F.unix_micros(ts)
+
+
 def moment(df: DataFrame, name: str, text: str) -> Column:
     """``text`` as a literal of the column's own type, so comparisons reach the scan."""
     return F.lit(text).cast(df.schema[name].dataType)

@@ -17,11 +17,12 @@ def _any_missing(names: list[str]) -> Column:
     return reduce(lambda a, b: a | b, (F.col(name).isNull() for name in names), F.lit(False))
 
 
-def apply_contract(df: DataFrame, schema: T.StructType) -> DataFrame:
+def apply_contract(df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
     """Project ``df`` onto ``schema``: its columns, in its order, cast to its types.
 
     A missing column raises. A value that does not convert becomes NULL, so that
-    ``split_required`` can set the row aside instead of failing the load.
+    ``split_required`` can set the row aside instead of failing the load. ``keep``
+    names further columns to carry along.
     """
     absent = [field.name for field in schema if field.name not in df.columns]
     if absent:
@@ -32,7 +33,8 @@ def apply_contract(df: DataFrame, schema: T.StructType) -> DataFrame:
             if df.schema[field.name].dataType != field.dataType
             else F.col(field.name)
             for field in schema
-        )
+        ),
+        *keep,
     )
 
 
@@ -42,6 +44,33 @@ def split_required(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, Data
     return df.filter(~missing), df.filter(missing)
 
 
+def contract_faults(schema: T.StructType) -> Column:
+    """What is wrong with a row, column by column: a required value is missing, or one does not convert."""
+
+    def fault(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        fitted = value.try_cast(field.dataType)
+        unread = F.when(value.isNotNull() & fitted.isNull(), F.lit(_unread(field)))
+        if field.nullable:
+            return unread
+        return F.when(value.isNull(), F.lit(_absent(field))).otherwise(unread)
+
+    return F.filter(F.array(*map(fault, schema)), lambda f: f.isNotNull())
+
+
+def _absent(field: T.StructField) -> str:
+    return f"{field.name} is missing"
+
+
+def _unread(field: T.StructField) -> str:
+    return f"{field.name} is no {field.dataType.simpleString()}"
+
+
+def fault_names(schema: T.StructType) -> list[str]:
+    """Every fault that ``contract_faults`` can find."""
+    return [_absent(f) for f in schema if not f.nullable] + [_unread(f) for f in schema]
+
+
 def split_contract(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """(rows that satisfy ``schema``, rejects) of ``df``.
 
@@ -52,19 +81,7 @@ def split_contract(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, Data
     absent = [field.name for field in schema if field.name not in df.columns]
     if absent:
         raise ValueError(f"columns missing from input: {absent}")
-
-    def fault(field: T.StructField) -> Column:
-        value = F.col(f"`{field.name}`")
-        fitted = value.try_cast(field.dataType)
-        unread = F.when(
-            value.isNotNull() & fitted.isNull(), F.lit(f"{field.name} is no {field.dataType.simpleString()}")
-        )
-        if field.nullable:
-            return unread
-        return F.when(value.isNull(), F.lit(f"{field.name} is missing")).otherwise(unread)
-
-    faults = F.filter(F.array(*map(fault, schema)), lambda f: f.isNotNull())
-    marked = df.withColumn("_faults", faults)
+    marked = df.withColumn("_faults", contract_faults(schema))
     good = apply_contract(marked.filter(F.size("_faults") == 0), schema)
     bad = marked.filter(F.size("_faults") > 0)
     record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from gaugeline.functions.rounding import steady_avg
 from gaugeline.functions.timeparts import day_start, hour_of, moment, month_of
 from gaugeline.operators.order_stats import grouped_order_stats, percentile_cont
-from gaugeline.operators.rolling import SERIES_ROWS, rolling_average
+from gaugeline.operators.rolling import SERIES_ROWS, rolling_average, rolling_time_average
 from gaugeline.operators.zscore import EXTREME_ABOVE, with_zscore
 from gaugeline.plans.daily import Rollup, rolled_up
 
@@ -116,6 +116,19 @@ def rolling_24(
     )
 
 
+def rolling_day(
+    df: DataFrame,
+    keep: tuple[str, ...] = (),
+    key: str = STATION,
+    time: str = TIME,
+    value: str = TEMPERATURE,
+    hot_rows: int = SERIES_ROWS,
+) -> DataFrame:
+    """Mean of the last 24 hours of each station, both ends included; ``keep`` names further columns."""
+    narrow = df.select(*dict.fromkeys([key, time, value, *keep]))
+    return rolling_time_average(narrow, key, time, value, "rolling_24h_avg", hot_rows=hot_rows)
+
+
 def monthly_percentiles(
     df: DataFrame,
     key: str = STATION,

@@ -28,18 +28,19 @@ def with_time_parts(staged: DataFrame) -> DataFrame:
 
 
 def fact_observations(
-    staged: DataFrame, tie: list[str] | None = None, hot_rows: int = HOT_ROWS
+    staged: DataFrame, tie: list[str] | None = None, hot_rows: int = HOT_ROWS, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """Staged rows with a dense ``observation_id`` in time order and the time parts.
 
     ``tie`` orders rows of the same instant. Without it all staged columns do, so
-    the numbering is still reproducible.
+    the numbering is still reproducible. ``keep`` names further columns to carry along.
     """
     numbered = number_rows(
         staged, "observation_timestamp", tie or TIE_BREAKERS, "observation_id", hot_rows
     )
     enriched = with_time_parts(numbered)
     return enriched.select(
+        *keep,
         "observation_id",
         "observation_timestamp",
         *(name for name in STAGED_COLUMNS if name != "observation_timestamp"),

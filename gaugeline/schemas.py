@@ -50,8 +50,10 @@ IMPERIAL_RAW = T.StructType(
     ]
 )
 
+# ``page`` is the address a page was fetched from, where whoever landed it noted that.
 STATION_PAGE = T.StructType(
     [
+        T.StructField("page", T.StringType()),
         T.StructField("observationStations", T.ArrayType(T.StringType())),
         T.StructField("pagination", T.StructType([T.StructField("next", T.StringType())])),
     ]

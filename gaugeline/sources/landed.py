@@ -54,6 +54,11 @@ def page_cursors(pages: DataFrame) -> DataFrame:
     return following.distinct().withColumn("cursor", after_marker(F.col("next_page")))
 
 
+def page_links(pages: DataFrame) -> DataFrame:
+    """The address of every page and of the next one, for ``operators.chains``."""
+    return pages.select("page", F.col("pagination.next").alias("next"))
+
+
 def station_keys(stations: DataFrame) -> DataFrame:
     return stations.withColumn("station_id", last_segment(F.col("station_url")))
 
@@ -82,7 +87,7 @@ def reject_counts(rejects: DataFrame) -> DataFrame:
     return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def read_footers(spark: SparkSession, *paths: str) -> DataFrame:
+def read_footers(spark: SparkSession, *paths: str, schema: T.StructType | None = None) -> DataFrame:
     """Parquet files as a version 2 scan, whose counts and bounds come from footers.
 
     Needs ``spark.sql.parquet.aggregatePushdown``, which ``build_session`` sets and
@@ -93,7 +98,7 @@ def read_footers(spark: SparkSession, *paths: str) -> DataFrame:
     formats = [f for f in kept.split(",") if f.strip() != "parquet"]
     spark.conf.set(_FIRST_VERSION, ",".join(formats))
     try:
-        return spark.read.parquet(*paths)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(*paths)
     finally:
         spark.conf.set(_FIRST_VERSION, kept)
 

@@ -25,6 +25,7 @@ from gaugeline.operators.mutate import delete_where, update_where
 from gaugeline.operators.quality import required_columns
 from gaugeline.operators.skew import null_safe_join
 from gaugeline.operators.stage import delete_path, stage
+from gaugeline.sources.landed import read_footers
 
 _REQUIRED = "gaugeline.required"
 _LISTED = "spark.sql.hive.manageFilesourcePartitions"
@@ -87,6 +88,16 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def table_footers(spark: SparkSession, name: str) -> DataFrame:
+    """The table as a scan whose counts and bounds come from file footers."""
+    location = _location(spark, name)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(location)
+    # A table that was never written to has no folder yet.
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+    return read_footers(spark, location, schema=spark.table(name).schema)
+
+
 def append_rows(df: DataFrame, name: str) -> None:
     """Append, matching columns by name; a NULL in a required column fails the write."""
     _fitted(df, name).write.insertInto(name)

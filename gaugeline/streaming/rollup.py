@@ -17,6 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeline.operators.spread import finished_spread, merge_spread, spread_pieces
 from gaugeline.operators.stage import delete_path
 from gaugeline.plans.marts import DAILY, DAILY_KEYS
 from gaugeline.streaming.ingest import write_batches
@@ -59,6 +60,12 @@ def land_partials(stream: DataFrame, target: str, checkpoint: str) -> None:
     write_batches(stream, write, checkpoint, "append")
 
 
+def land_spread(stream: DataFrame, keys: list[str], value: str, target: str, checkpoint: str) -> None:
+    """Leave each batch's count, mean and squared deviations of ``value`` in a folder of its own."""
+    write = _write_batch(target, lambda batch: spread_pieces(batch, keys, value))
+    write_batches(stream, write, checkpoint, "append")
+
+
 def _folders(spark: SparkSession, target: str) -> tuple[list[str], list[str], int]:
     """(folders to read, folders they replace, last batch); one entry per unmerged batch."""
     jvm = spark.sparkContext._jvm
@@ -85,6 +92,11 @@ def _added(pieces: DataFrame) -> DataFrame:
     return pieces.groupBy(*DAILY_KEYS).agg(*DAILY.merged(), F.max("batch").alias("batch"))
 
 
+def added_spread(keys: list[str]) -> Callable[[DataFrame], DataFrame]:
+    """How ``merge_batches`` puts the folders of ``land_spread`` together."""
+    return lambda pieces: merge_spread(pieces, keys).withColumn("batch", F.lit(None).cast("long"))
+
+
 def _read(spark: SparkSession, target: str, merge: Callable[[DataFrame], DataFrame]) -> DataFrame:
     return merge(spark.read.parquet(*_folders(spark, target)[0]))
 
@@ -99,15 +111,27 @@ def read_partials(spark: SparkSession, target: str) -> DataFrame:
     return _read(spark, target, _added).select(*DAILY_KEYS, *DAILY.finished())
 
 
-def merge_batches(spark: SparkSession, target: str, windowed: bool = False) -> None:
+def read_spread(spark: SparkSession, target: str, keys: list[str]) -> DataFrame:
+    """Mean and deviation per ``keys`` of all values that ``land_spread`` saw."""
+    return finished_spread(_read(spark, target, lambda pieces: merge_spread(pieces, keys)))
+
+
+def merge_batches(
+    spark: SparkSession,
+    target: str,
+    windowed: bool = False,
+    merge: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
     """Put the batches so far into one folder and delete those merged before.
 
+    ``merge`` says how, for other pieces than those of the daily rollup.
+
     Folders just merged stay for running readers until the next merge. Run it
     between two runs of the stream.
     """
     current, replaced, last = _folders(spark, target)
     if len(current) > 1:
-        merged = _read(spark, target, _newest if windowed else _added)
+        merged = _read(spark, target, merge or (_newest if windowed else _added))
         merged.write.mode("overwrite").parquet(f"{target}/upto-{last}")
     for path in replaced:
         delete_path(spark, path)

@@ -1,0 +1,92 @@
+"""Chains of pages: order, gaps, cycles, pages nobody links to, and repeated landings."""
+
+from __future__ import annotations
+
+import json
+import random
+
+import pytest
+
+from gaugeline.operators.chains import chain_summary, follow_chain
+from gaugeline.sources import landed
+
+
+def walked(spark, links, starts):
+    found = follow_chain(
+        spark.createDataFrame(links, "page string, next string"), spark.createDataFrame([(s,) for s in starts], "page string")
+    )
+    return sorted((r["start"] or "", r["page"], r["position"], r["status"]) for r in found.collect())
+
+
+def by_hand(links, starts):
+    """One page after the other."""
+    following: dict = {}
+    for page, after in links:
+        if page is not None and (page not in following or (after is not None and (following[page] or "~") > after)):
+            following[page] = after
+    out, reached = [], set()
+    for start in {s for s in starts if s is not None}:
+        if start not in following:
+            out.append((start, start, 0, "missing"))
+            continue
+        way = [start]
+        while following[way[-1]] in following and following[way[-1]] not in way:
+            way.append(following[way[-1]])
+        reached.update(way)
+        end = following[way[-1]]
+        last = "last" if end is None else "missing" if end not in following else "cycle"
+        out += [(start, p, i, "followed" if i < len(way) - 1 else last) for i, p in enumerate(way)]
+    return sorted(out + [("", p, None, "unreachable") for p in following if p not in reached])
+
+
+CASES = {
+    "whole": ([("a", "b"), ("b", "c"), ("c", None)], ["a"]),
+    "gap": ([("a", "b"), ("b", "x"), ("c", "d"), ("d", None)], ["a"]),
+    "cycle": ([("a", "b"), ("b", "c"), ("c", "d"), ("d", "b")], ["a"]),
+    "itself": ([("a", "a"), ("b", None)], ["a"]),
+    "two starts, one tail": ([("a", "c"), ("b", "c"), ("c", "d"), ("d", None)], ["a", "b", "a"]),
+    "start not landed": ([("a", None)], ["z", None]),
+    "no page": ([], ["a"]),
+    "no start": ([("a", "b")], []),
+    "rows without a page": ([(None, "a"), ("a", None), (None, None)], ["a"]),
+    "landed again": ([("a", "b"), ("a", "b"), ("b", None), ("b", "c"), ("c", None)], ["a"]),
+}
+
+
+@pytest.mark.parametrize("case", CASES)
+def test_cases(spark, case):
+    links, starts = CASES[case]
+    assert walked(spark, links, starts) == by_hand(links, starts)
+
+
+def test_random_links(spark):
+    rng = random.Random(5)
+    pages = [f"p{i}" for i in range(120)]
+    links = [(p, rng.choice([*pages, None, "gone"])) for p in pages]
+    links += [(f"c{i}", f"c{i + 1}") for i in range(200)]
+    starts = [*rng.sample(pages, 6), "c0", "c199"]
+    assert walked(spark, links, starts) == by_hand(links, starts)
+
+
+def test_differing_landings_are_told(spark):
+    links = [("a", "b"), ("a", "c"), ("b", None), ("c", None), ("c", None)]
+    found = follow_chain(
+        spark.createDataFrame(links, "page string, next string"), spark.createDataFrame([("a",)], "page string")
+    )
+    assert {r["page"]: r["differing"] for r in found.collect()} == {"a": True, "b": False, "c": False}
+
+
+def test_summary_of_landed_documents(spark, tmp_path):
+    for number in range(5):
+        following = f"s?cursor={number + 1}" if number < 4 else None
+        page = {"page": f"s?cursor={number}", "observationStations": ["A"], "pagination": {"next": following}}
+        if number != 2:
+            (tmp_path / f"{number}.json").write_text(json.dumps(page))
+    links = landed.page_links(landed.read_station_pages(spark, str(tmp_path)))
+    starts = spark.createDataFrame([("s?cursor=0",)], "page string")
+    rows = chain_summary(follow_chain(links, starts)).collect()
+    assert {(r["status"], r["pages"], r["furthest"]) for r in rows} == {
+        ("followed", 1, 0),
+        ("missing", 1, 1),
+        ("unreachable", 2, None),
+    }
