@@ -14,7 +14,7 @@ from checks import adapter
 from checks.adapter import staged, table
 from gaugeline.functions.rounding import round_to
 from gaugeline.functions.text import after_marker, last_segment
-from gaugeline.operators import chains, mutate, order_stats, quality, sketches, spread
+from gaugeline.operators import chains, mutate, quality, sketches, spread
 from gaugeline.operators.ordering import number_rows
 from gaugeline.operators.skew import null_safe_join
 from gaugeline.operators.stage import stage, stage_path
@@ -178,7 +178,7 @@ def rolling_avg_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolling_avg(spark, sf_dir, stations=["ST1", "ST2", "ST3"])
 
 
-def monthly_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def monthly_percentiles(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     result = analytics.monthly_percentiles(
         adapter.charged(spark, sf_dir),
         key="l_suppkey",
@@ -188,6 +188,7 @@ def monthly_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         precipitation="l_tax",
         humidity="l_discount",
         humid_above=0.05,
+        **options,
     )
     return _rounded(result, 4, "median_temp", "p95_wind", "avg_temp_humid")
 
@@ -573,18 +574,8 @@ def schema_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- timings ----------------------------------------------------------------
 
 
-def run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(runstats.run_stats(adapter.timings(spark, sf_dir)), 4, "median", "p95")
-
-
-def _by_range_sort(query: Query, values: int, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``query`` with groups above ``values`` distinct values placed by a range sort."""
-    kept = order_stats.WINDOW_VALUES
-    order_stats.WINDOW_VALUES = values
-    try:
-        return query(spark, sf_dir)
-    finally:
-        order_stats.WINDOW_VALUES = kept
+def run_stats(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    return _rounded(runstats.run_stats(adapter.timings(spark, sf_dir), **options), 4, "median", "p95")
 
 
 def overhead_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -734,7 +725,7 @@ QUERIES: dict[str, Query] = {
     "approx_stations": approx_stations,
     "approx_percentiles": approx_percentiles,
     "monthly_percentiles": monthly_percentiles,
-    "monthly_percentiles_split": partial(_by_range_sort, monthly_percentiles, 5),
+    "monthly_percentiles_split": partial(monthly_percentiles, hot_rows=5),
     "load_stats": load_stats,
     "latest_observations": latest_observations,
     "numbered_orders": numbered_orders,
@@ -772,7 +763,7 @@ QUERIES: dict[str, Query] = {
     "reconcile_counts": reconcile_counts,
     "schema_contract": schema_contract,
     "run_stats": run_stats,
-    "run_stats_split": partial(_by_range_sort, run_stats, 15),
+    "run_stats_split": partial(run_stats, hot_rows=15),
     "overhead_report": overhead_report,
     "mean_overhead": mean_overhead,
     "result_export": result_export,

@@ -1,11 +1,12 @@
 """Exact percentiles and other order statistics per group.
 
-The values of a group are counted first, so equal readings are one row, and
-placed by a running sum of their counts. That is a window per group and measure,
-which sorts and spills like any other; a group of more than ``WINDOW_VALUES``
-distinct values is placed by a range sort over all tasks instead. Both place a
-value alike, so the switch changes the plan and never the result. Where the whole
-table has no more rows than that, nothing is staged.
+One shuffle by group serves the statistics and all other aggregates: where the
+rows of a group meet they are ranked once per measure, by a window that sorts and
+spills like any other, and one aggregation picks the values at the asked places.
+A group of more than ``WINDOW_VALUES`` rows goes another way: its values are
+counted, so equal readings are one row, and placed by a range sort over all
+tasks. Both ways read the same places of the same order, so the switch changes
+the plan and never the result.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from gaugeline.operators.ordering import running_total
 from gaugeline.operators.skew import null_safe_join, split_hot
 from gaugeline.operators.stage import stage
 
-# Distinct values of one group that a window sorts in one task.
+# Rows of one group that a window sorts in one task.
 WINDOW_VALUES = 4_000_000
 
 
@@ -44,26 +45,58 @@ def nearest_rank(column: str, p: float) -> OrderStat:
 
 
 def grouped_order_stats(
-    df: DataFrame, keys: list[str], stats: dict[str, OrderStat], aggregates: list[Column]
+    df: DataFrame,
+    keys: list[str],
+    stats: dict[str, OrderStat],
+    aggregates: list[Column],
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """One row per group: ``keys``, ``aggregates`` and the named order statistics.
 
     NULLs are ignored; a group without values yields NULL. NaN is the largest value.
+    Groups above ``hot_rows`` rows, by default ``WINDOW_VALUES``, are placed by a range sort.
     """
-    columns = list(dict.fromkeys(stat.column for stat in stats.values()))
-    # Short names, as the measure is part of every sort key.
-    names = {column: f"_{i}" for i, column in enumerate(columns)}
-    measured = df.select(*keys, *(F.col(column).cast("double").alias(names[column]) for column in columns))
-    group = [*keys, "_measure"]
-    if df.count() <= WINDOW_VALUES:
-        # No group can be too large, and one shuffle by group serves every step.
-        placed = _placed_by_window(_counted(measured.repartition(*keys), keys, names), group)
-    else:
-        counted = stage(_counted(measured, keys, names), "counted-values")
-        cold, hot = split_hot(counted, group, WINDOW_VALUES)
-        placed = _placed_by_window(cold, group)
-        if hot is not None:
-            placed = placed.unionByName(_placed_by_range_sort(hot, group))
+    cold, hot = split_hot(df, keys, WINDOW_VALUES if hot_rows is None else hot_rows)
+    result = _by_window(cold, keys, stats, aggregates)
+    if hot is None:
+        return result
+    return result.unionByName(_by_range_sort(hot, keys, stats, aggregates))
+
+
+def _columns(stats: dict[str, OrderStat]) -> dict[str, str]:
+    """A short name for each measure, as it is part of every sort key."""
+    return {column: f"_{i}" for i, column in enumerate(dict.fromkeys(stat.column for stat in stats.values()))}
+
+
+def _by_window(
+    df: DataFrame, keys: list[str], stats: dict[str, OrderStat], aggregates: list[Column]
+) -> DataFrame:
+    names = _columns(stats)
+    ranked = df.repartition(*keys)
+    for column, name in names.items():
+        ordered = W.partitionBy(*keys).orderBy(F.col(column).cast("double").asc_nulls_last())
+        whole = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+        ranked = ranked.withColumns(
+            {f"_at{name}": F.row_number().over(ordered) - 1, f"_n{name}": F.count(column).over(whole)}
+        )
+
+    def pick(stat: OrderStat, position: Column) -> Column:
+        return F.max(F.when(F.col(f"_at{names[stat.column]}") == position, F.col(stat.column).cast("double")))
+
+    def size(stat: OrderStat) -> Column:
+        return F.col(f"_n{names[stat.column]}")
+
+    grouped = ranked.groupBy(*keys).agg(*aggregates, *_picks(stats, pick, size))
+    return _interpolated(grouped, stats)
+
+
+def _by_range_sort(
+    df: DataFrame, keys: list[str], stats: dict[str, OrderStat], aggregates: list[Column]
+) -> DataFrame:
+    names = _columns(stats)
+    measured = df.select(*keys, *(F.col(c).cast("double").alias(name) for c, name in names.items()))
+    counted = stage(_counted(measured, keys, names), "counted-values")
+    placed = _placed(counted, [*keys, "_measure"])
 
     def pick(stat: OrderStat, position: Column) -> Column:
         held = (F.col("_end") - F.col("_rows") <= position) & (position < F.col("_end"))
@@ -87,18 +120,8 @@ def _counted(measured: DataFrame, keys: list[str], names: dict[str, str]) -> Dat
     )
 
 
-def _placed_by_window(counted: DataFrame, group: list[str]) -> DataFrame:
+def _placed(counted: DataFrame, group: list[str]) -> DataFrame:
     """Add ``_end``, the rows up to and including each value, and ``_n``, the rows of the group."""
-    ordered = W.partitionBy(*group).orderBy("_value")
-    upto = ordered.rowsBetween(W.unboundedPreceding, 0)
-    whole = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    return counted.withColumns(
-        {"_end": F.sum("_rows").over(upto), "_n": F.sum("_rows").over(whole)}
-    )
-
-
-def _placed_by_range_sort(counted: DataFrame, group: list[str]) -> DataFrame:
-    """``_placed_by_window`` for groups too large for one task."""
     totals = stage(running_total(counted, [*group, "_value"], "_rows", "_upto"), "running-totals")
     spans = totals.groupBy(*group).agg(
         F.min(F.col("_upto") - F.col("_rows")).alias("_start"), F.sum("_rows").alias("_n")

@@ -139,6 +139,7 @@ def monthly_percentiles(
     humidity: str = "relative_humidity_percent",
     rain_above: float = 0.0,
     humid_above: float = 80.0,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Percentiles, conditional count and conditional mean per key and calendar month."""
     rows = df.select(
@@ -158,6 +159,7 @@ def monthly_percentiles(
             F.sum(F.when(rainy, 1).otherwise(0)).alias("precip_hours"),
             steady_avg(F.when(humid, F.col(temperature))).alias("avg_temp_humid"),
         ],
+        hot_rows,
     )
 
 

@@ -13,6 +13,7 @@ def run_stats(
     timings: DataFrame,
     keys: tuple[str, ...] = ("query", "format"),
     time: str = "time_ms",
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Median, mean, min, max, 95th percentile by rank, and sample deviation per run group.
 
@@ -33,6 +34,7 @@ def run_stats(
             round_to(F.max(time), 2).alias("max"),
             deviation.alias("stddev"),
         ],
+        hot_rows,
     )
 
 
