@@ -152,6 +152,20 @@ def linked_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return page_links(read_station_pages(spark, path, one_per_file=False)), starts
 
 
+def drifting_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Properties of events; some have fields or types of their own, some end too early."""
+    number, k = F.col("event_id"), _measure_k().cast("int")
+    changed = (
+        F.when(number % 40 == 0, F.expr("left(props, length(props) - 1)"))
+        .when(number % 25 == 0, F.format_string('{"k": %d, "sensor": {"model": "m%d", "rev": 2}}', k, k))
+        .when(number % 15 == 0, F.format_string('{"k": "%d"}', k))
+        .when(number % 10 == 0, F.format_string('{"unit": "C", "k": %d}', k))
+        .when(number % 9 == 0, F.format_string('{"k": %d.5, "tags": ["a", 1, "b"]}', k))
+        .otherwise(F.col("props"))
+    )
+    return table(spark, sf_dir, "events").select(changed.alias("document"))
+
+
 def charged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with ``charge``, a reading of many decimals."""
     charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))

@@ -14,7 +14,7 @@ from checks import adapter
 from checks.adapter import staged, table
 from gaugeline.functions.rounding import round_to
 from gaugeline.functions.text import after_marker, last_segment
-from gaugeline.operators import chains, mutate, quality, sketches, spread
+from gaugeline.operators import chains, drift, mutate, quality, sketches, spread
 from gaugeline.operators.ordering import number_rows
 from gaugeline.operators.skew import null_safe_join
 from gaugeline.operators.stage import stage, stage_path
@@ -297,6 +297,21 @@ def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.unionByName(loaded)
 
 
+# What is known of the properties of events.
+PROPERTIES = T.StructType(
+    [
+        T.StructField("k", T.LongType()),
+        T.StructField("note", T.StringType()),
+        T.StructField("sensor", T.StructType([T.StructField("model", T.StringType())])),
+    ]
+)
+
+
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields and types of documents that their schema does not know."""
+    return drift.schema_drift(adapter.drifting_documents(spark, sf_dir), "document", PROPERTIES)
+
+
 def load_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults counted while documents are written, beside the rows read back."""
     path = stage_path(spark, "observations")
@@ -736,6 +751,7 @@ QUERIES: dict[str, Query] = {
     "load_observations": load_observations,
     "load_rejects": load_rejects,
     "load_quality": load_quality,
+    "schema_drift": schema_drift,
     "station_pages": station_pages,
     "page_cursor": page_cursor,
     "page_chain": page_chain,

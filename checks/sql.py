@@ -279,6 +279,21 @@ counts AS (
   UNION ALL SELECT 'station_id is missing', COUNT(*) FROM landed WHERE NOT broken AND homeless HAVING COUNT(*) > 0
   UNION ALL SELECT 'temperature_degC is no double', COUNT(*) FROM landed WHERE NOT broken AND unread HAVING COUNT(*) > 0)
 SELECT measure, row_count, CASE WHEN measure IN ('loaded', 'rejected') THEN row_count END AS rows_read FROM counts""",
+    "schema_drift": """WITH d AS (
+  SELECT CASE WHEN event_id % 40 = 0 THEN 'broken' WHEN event_id % 25 = 0 THEN 'sensor'
+              WHEN event_id % 15 = 0 THEN 'text' WHEN event_id % 10 = 0 THEN 'unit'
+              WHEN event_id % 9 = 0 THEN 'tags' ELSE 'plain' END AS form FROM events),
+f(form, path, kind, status) AS (VALUES
+  ('broken', '', NULL, 'unreadable'),
+  ('sensor', 'k', 'integer', 'known'), ('sensor', 'sensor', 'object', 'known'),
+  ('sensor', 'sensor.model', 'string', 'known'), ('sensor', 'sensor.rev', 'integer', 'unknown field'),
+  ('text', 'k', 'string', 'other type'),
+  ('unit', 'k', 'integer', 'known'), ('unit', 'unit', 'string', 'unknown field'),
+  ('tags', 'k', 'number', 'other type'), ('tags', 'tags', 'array', 'unknown field'),
+  ('tags', 'tags[]', 'string', 'unknown field'), ('tags', 'tags[]', 'integer', 'unknown field'),
+  ('plain', 'k', 'integer', 'known'))
+SELECT path, kind, COUNT(*) AS documents, status FROM d JOIN f USING (form) GROUP BY path, kind, status
+UNION ALL SELECT 'note', NULL, 0, 'never seen'""",
     "station_pages": """SELECT url AS station_url,
        CASE WHEN contains(url, 'page=') THEN url END AS next_page FROM pages""",
     "page_cursor": """SELECT DISTINCT url AS next_page, split_part(url, 'page=', -1) AS cursor

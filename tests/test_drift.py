@@ -1,0 +1,98 @@
+"""Documents held against a schema."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import types as T
+
+from gaugeline.operators.drift import declared_fields, schema_drift, shapes
+from gaugeline.schemas import FEATURE
+
+SCHEMA = T.StructType(
+    [
+        T.StructField("id", T.LongType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("tags", T.ArrayType(T.StructType([T.StructField("name", T.StringType())]))),
+        T.StructField("never", T.BooleanType()),
+    ]
+)
+
+
+def report(spark, *documents):
+    texts = [(d if d is None or isinstance(d, str) else json.dumps(d),) for d in documents]
+    rows = schema_drift(spark.createDataFrame(texts, "document string"), "document", SCHEMA).collect()
+    return {(r["path"], r["kind"], r["documents"], r["status"]) for r in rows if r["status"] != "never seen"}
+
+
+def test_declared_fields_of_nested_types():
+    assert dict(declared_fields(SCHEMA)) == {
+        "id": ["integer"],
+        "value": ["integer", "number"],
+        "tags": ["array"],
+        "tags[]": ["object"],
+        "tags[].name": ["integer", "number", "string", "boolean"],
+        "never": ["boolean"],
+    }
+
+
+def test_kinds_and_status(spark):
+    got = report(
+        spark,
+        {"id": 1, "value": 2.5, "tags": [{"name": "a"}, {"name": "b", "size": 3}]},
+        {"id": "1", "value": 2, "tags": []},
+        {"id": None, "more": {"deep": {"er": True}}},
+        {"id": 1.5, "tags": [1, "x", None]},
+    )
+    assert got == {
+        ("id", "integer", 1, "known"),
+        ("id", "string", 1, "other type"),
+        ("id", "null", 1, "known"),
+        ("id", "number", 1, "other type"),
+        ("value", "number", 1, "known"),
+        ("value", "integer", 1, "known"),
+        ("tags", "array", 3, "known"),
+        ("tags[]", "object", 1, "known"),
+        ("tags[]", "integer", 1, "other type"),
+        ("tags[]", "string", 1, "other type"),
+        ("tags[]", "null", 1, "known"),
+        ("tags[].name", "string", 1, "known"),
+        ("tags[].size", "integer", 1, "unknown field"),
+        ("more", "object", 1, "unknown field"),
+        ("more.deep", "object", 1, "unknown field"),
+        ("more.deep.er", "boolean", 1, "unknown field"),
+    }
+
+
+@pytest.mark.parametrize(
+    ("documents", "expected"),
+    [
+        ([None, None], set()),
+        (["", "{", "no"], {("", None, 3, "unreadable")}),
+        (["1", "[]", "{}", '"x"'], set()),
+        (["[{\"id\": 1}]"], {("[]", "object", 1, "unknown field"), ("[].id", "integer", 1, "unknown field")}),
+    ],
+)
+def test_hard_documents(spark, documents, expected):
+    assert report(spark, *documents) == expected
+
+
+def test_nothing_leaves_every_field_unseen(spark):
+    rows = schema_drift(spark.createDataFrame([], "document string"), "document", SCHEMA).collect()
+    assert {(r["path"], r["documents"], r["status"]) for r in rows} == {
+        (path, 0, "never seen") for path, _ in declared_fields(SCHEMA)
+    }
+
+
+def test_documents_of_a_shape_are_one_row(spark):
+    texts = spark.range(5000).selectExpr("to_json(struct(id, cast(id as string) AS name)) AS document")
+    [row] = shapes(texts, "document").collect()
+    assert row["documents"] == 5000 and row["shape"].startswith("OBJECT<")
+
+
+def test_features_of_stations_are_declared(spark):
+    feature = {"id": "o", "type": "Feature", "geometry": {"type": "Point", "coordinates": [1.5, 2]}, "properties": {"qc": "V"}}
+    found = schema_drift(spark.createDataFrame([(json.dumps(feature),)], "document string"), "document", FEATURE)
+    odd = {(r["path"], r["status"]) for r in found.filter("status IN ('unknown field', 'other type')").collect()}
+    assert odd == {("properties.qc", "unknown field")}
