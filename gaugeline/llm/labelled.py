@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugeline.operators.stage import stage
+
 
 def fold(folds: int) -> Column:
     """crc32 of doc_id as text, modulo ``folds``; a missing doc_id is in fold -1."""
@@ -33,3 +35,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
         F.broadcast(known), F.col("doc_id") == F.col("labelled_id")
     )
     return found.select("doc_id", "text", "label")
+
+
+def bounded(sample: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` rows of a staged sample of distinct (text, label), drawn by their hash.
+
+    The draw of labels bounds doc_ids; one of them may stand on any number of rows.
+    Only hashes are sorted, so no text leaves its task.
+    """
+    if sample.count() <= most:
+        return sample
+    place = F.xxhash64("text", "label")
+    last = sample.select(place.alias("_place")).orderBy("_place").limit(most).agg(F.max("_place")).first()[0]
+    return stage(sample.filter(place <= last), "bounded-sample")

@@ -30,7 +30,7 @@ from pyspark.sql.types import DoubleType
 
 from gaugeline.llm.arrays import releasing, text_chunks
 from gaugeline.llm.char_model import SYMBOLS, CharModel, count_trigrams, restore
-from gaugeline.llm.labelled import labelled_sample
+from gaugeline.llm.labelled import bounded, labelled_sample
 from gaugeline.operators.stage import stage
 
 # Labelled rows that the fit may see.
@@ -123,7 +123,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, rows: int
     chars = learn_chars(docs)
     drawn = labelled_sample(docs, labels, "toxic", learn, rows)
     # Copies of a text count once: their words would all look like signs of its label.
-    sample = stage(drawn.dropDuplicates(["text", "label"]), "toxic-sample")
+    sample = bounded(stage(drawn.dropDuplicates(["text", "label"]), "toxic-sample"), rows)
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:

@@ -9,11 +9,13 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from gaugeline.llm import bpe_codec, char_model, decontaminate, kneser_ney, pretokens, quality_model
+from gaugeline.llm import bpe_codec, char_model, decontaminate, kneser_ney, labelled, pretokens, quality_model
 from gaugeline.llm import quality_rules, secret_scan, simhash, token_counts, token_files, toxicity, trigrams
 from gaugeline.llm.arrays import packed, unpacked
 from gaugeline.llm.components import connected_components, forest
+from gaugeline.operators.stage import stage
 from tests.llm import brute
 
 BITS = ["a", "bc", "é", "1", "22", " ", "  ", "\n", "'", "'s", "'re", "'LL", "!", "日", "́", "🙂", "the ", "<|endoftext|>"]
@@ -329,3 +331,18 @@ def _start(model, word: str) -> float:
         seen = np.zeros(1, np.int64)
     taken = float(np.array(model.pair_discounts) @ stats)
     return kneser_ney._discount(seen, model.pair_discounts)[0] / v.texts + taken / v.texts * low
+
+
+def test_a_repeated_doc_id_does_not_break_the_bound_of_the_sample(spark):
+    """One labelled id on many rows of different texts."""
+    docs = spark.range(900).select(
+        F.when(F.col("id") < 800, 7).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text")
+    )
+    labels = spark.createDataFrame([(7, 1), *((i, 0) for i in range(800, 900))], "doc_id long, toxic int")
+    drawn = labelled.labelled_sample(docs, labels, "toxic", F.lit(True), 50)
+    found = labelled.bounded(stage(drawn, "sample"), 50)
+    assert found.count() == min(50, drawn.count())
+    everything = labelled.labelled_sample(docs, labels, "toxic", F.lit(True), 500)
+    found = labelled.bounded(stage(everything, "sample"), 500).collect()
+    assert len(found) == 500 and len({r.text for r in found}) == 500
+    assert {tuple(r) for r in found} <= {tuple(r) for r in everything.collect()}
