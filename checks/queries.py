@@ -21,7 +21,7 @@ from gaugeline.operators.stage import stage, stage_path
 from gaugeline.operators.zscore import group_spread
 from gaugeline.plans import analytics, load, marts, refresh, runstats, staging
 from gaugeline.schemas import METRIC_RAW
-from gaugeline.sources import landed, tables
+from gaugeline.sources import clustered, landed, tables
 from gaugeline.streaming import dedup, deliveries, ingest, rollup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -540,6 +540,29 @@ def weather_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _kept(spark, namespace, warm)
 
 
+def _clustered(spark: SparkSession, sf_dir: str, hot_rows: int) -> tuple[str, str]:
+    namespace, folder = f"obs_{uuid.uuid4().hex}", stage_path(spark, "clustered")
+    tables.create_namespace(spark, namespace, folder)
+    name = f"{namespace}.observations"
+    rows = staged(spark, sf_dir)
+    clustered.save_clustered(
+        rows, name, f"{folder}/observations", "station_id", "observation_timestamp", hot_rows, bucket_rows=1_000
+    )
+    return namespace, name
+
+
+def clustered_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of one station of a clustered table."""
+    namespace, name = _clustered(spark, sf_dir, 4_000_000)
+    return _kept(spark, namespace, clustered.read_key(spark, name, "station_id", "ST7"))
+
+
+def clustered_rollup(spark: SparkSession, sf_dir: str, hot_rows: int = 4_000_000) -> DataFrame:
+    """The station dimension from a clustered table; with few ``hot_rows`` some stations are hot."""
+    namespace, name = _clustered(spark, sf_dir, hot_rows)
+    return _kept(spark, namespace, clustered.by_key(spark, name, marts.station_dimension))
+
+
 # --- quality ----------------------------------------------------------------
 
 
@@ -773,6 +796,9 @@ QUERIES: dict[str, Query] = {
     "parquet_roundtrip": parquet_roundtrip,
     "managed_table_scan": managed_table_scan,
     "weather_samples": weather_samples,
+    "clustered_scan": clustered_scan,
+    "clustered_rollup": clustered_rollup,
+    "clustered_rollup_split": partial(clustered_rollup, hot_rows=SPLIT_ROWS + 15),
     "not_null_violations": not_null_violations,
     "duplicate_keys": duplicate_keys,
     "accepted_values": accepted_values,

@@ -174,15 +174,17 @@ _ANOMALIES = f"""SELECT o.event_id, o.observation_timestamp, o.station_id, o."te
        ROUND(s.avg_temp, 6) AS avg_temp, ROUND(s.stddev_temp, 6) AS stddev_temp, ROUND({_Z}, 6) AS temp_z_score
 FROM staged o JOIN spread s ON o.station_id = s.station_id WHERE {_Z} > 2"""
 
+_STATIONS = f"""WITH {_STAGED}
+SELECT station_id, location, MIN(observation_timestamp) AS first_observation,
+       MAX(observation_timestamp) AS last_observation, COUNT(*) AS total_observations
+FROM staged WHERE station_id IS NOT NULL GROUP BY station_id, location"""
+
 SQL: dict[str, str] = {
     "stg_observations": f"WITH {_STAGED} SELECT * FROM staged",
     "fact_observations": f"WITH {_FACT} SELECT * FROM fact",
     "fact_observations_split": f"WITH {_FACT} SELECT * FROM fact",
     "daily_weather": f"WITH {_FACT} {_DAILY}",
-    "dim_stations": f"""WITH {_STAGED}
-SELECT station_id, location, MIN(observation_timestamp) AS first_observation,
-       MAX(observation_timestamp) AS last_observation, COUNT(*) AS total_observations
-FROM staged WHERE station_id IS NOT NULL GROUP BY station_id, location""",
+    "dim_stations": _STATIONS,
     "extreme_events": f"WITH {_FACT}, {_SPREAD} {_EXTREME}",
     "classify_observations": f"""WITH {_STAGED}, {_SPREAD}
 SELECT o.event_id, o.station_id, ROUND({_Z}, 6) AS temp_z_score, {_CATEGORY} AS temperature_category
@@ -338,6 +340,9 @@ WHERE (ts < '2024-01-05' OR value > 100) IS NOT TRUE""",
 SELECT event_id AS id, station_id AS name, location || ',' || condition AS tags,
        "temperature_degC" AS temperature, EXTRACT(HOUR FROM observation_timestamp) AS hour
 FROM staged WHERE "temperature_degC" > 20""",
+    "clustered_scan": f"WITH {_STAGED} SELECT * FROM staged WHERE station_id = 'ST7'",
+    "clustered_rollup": _STATIONS,
+    "clustered_rollup_split": _STATIONS,
     "not_null_violations": f"""WITH {_RAW}
 SELECT 'station' AS column_name, COUNT(*) FILTER (station IS NULL) AS violations FROM raw
 UNION ALL SELECT 'observation_time', COUNT(*) FILTER (observation_time IS NULL) FROM raw
