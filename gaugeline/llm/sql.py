@@ -234,7 +234,8 @@ path AS (
   GROUP BY path.r, edits.i, edits.q
 ),
 n AS (
-  SELECT r, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+  SELECT r, count(*) AS n,
+    least(coalesce(max(turn)::HUGEINT - min(turn) + 1 - count(DISTINCT turn), 0), 9223372036854775807) AS gaps,
     count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
     count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal
   FROM g GROUP BY r
