@@ -1 +1 @@
-"""Readers, tables, storage locations and the synthetic generator."""
+"""Readers, tables, clustered tables and storage locations."""
