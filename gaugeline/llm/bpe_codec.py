@@ -4,12 +4,13 @@ A text up to ``leaf_chars`` is encoded as it is. A longer one is cut into
 halves, again and again, until the parts fit; the parts are encoded in
 parallel, as rows of their own, and joined two by two up the tree. At a join
 the tokens next to the cut can be wrong. A window around the cut is encoded
-anew and grows on each side until both agree: the window's split into
-pre-tokens and the part's own have a boundary in common there (left of the cut
-the part's last pre-token is never trusted, as it ends only because the part
-does). A match depends on nothing before it, so equal boundaries mean equal
-pre-tokens from there on, and the result is exactly that of the whole text. In
-text without any boundary the window grows until it holds the whole run.
+anew. On its left it begins at a boundary of the left part so far back that no
+match before it can have looked at the cut; a match depends on nothing before
+it, so that boundary is one of the whole text and nothing has to be compared
+there. On its right it grows until the window's split into pre-tokens and the
+right part's own have a boundary in common: from there on both agree, and the
+result is exactly that of the whole text. In text without any boundary the
+window grows until it holds the whole run.
 
 Null text is encoded as "". Rows may repeat; every row gives one result row.
 """
