@@ -116,17 +116,20 @@ def components(prints: list[int], names: list[int]) -> list[int]:
     return [least[r] for r in roots]
 
 
-def kneser_ney(rows: list[tuple]) -> list[tuple]:
+def kneser_ney(rows: list[tuple], order: int = 3) -> list[tuple]:
     """(held_out, n_tokens, n_known, train_tokens, base_score, score) of rows (doc_id, text)."""
     tokens = [[*re.findall(WORD, lower(t or "")), None] for _, t in rows]
     held = [fold(i, 10) == 0 for i, _ in rows]
-    c, pairs, heads = Counter(), Counter(), Counter()
-    for ts, out in zip(tokens, held):
-        if not out:
-            c.update(ts)
-            pairs.update(zip([0, *ts], ts))
-            heads.update([0, *ts[:-1]])
+
+    def grams(ts: list) -> list[tuple]:
+        padded = [*[0] * (order - 1), *ts]
+        return [tuple(padded[i : i + order]) for i in range(len(ts))]
+
+    c = Counter(w for ts, out in zip(tokens, held) if not out for w in ts)
     n, v = sum(c.values()), len(c)
+    a = {order: Counter(g for ts, out in zip(tokens, held) if not out for g in grams(ts))}
+    for k in range(order - 1, 0, -1):
+        a[k] = Counter(g[1:] for g in a[k + 1])
 
     def discounts(counts: Counter) -> list[float]:
         ns = [sum(1 for x in counts.values() if x == k) for k in (1, 2, 3, 4)]
@@ -135,25 +138,24 @@ def kneser_ney(rows: list[tuple]) -> list[tuple]:
         y = ns[0] / (ns[0] + 2 * ns[1])
         return [0, *(min(max(k - (k + 1) * y * ns[k] / ns[k - 1], 0.05), k - 0.05) for k in (1, 2, 3))]
 
-    after = Counter(w for _, w in pairs)
-    by_pair, by_word, types = discounts(pairs), discounts(after), max(1, len(pairs))
-    rest = sum(by_word[min(x, 3)] for x in after.values()) / types if pairs else 1.0
-    taken = defaultdict(float)
-    for (a, _), x in pairs.items():
-        taken[a] += by_pair[min(x, 3)]
-
-    def p(a, w) -> float:
-        x = after[w]
-        low = max(x - by_word[min(x, 3)], 0) / types + rest / (v + 1)
-        if not heads[a]:
+    by = {k: discounts(a[k]) for k in a}
+    total, taken = defaultdict(int), defaultdict(float)
+    for k in a:
+        for g, x in a[k].items():
+            total[g[:-1]] += x
+            taken[g[:-1]] += by[k][min(x, 3)]
+
+    def p(gram: tuple) -> float:
+        low = p(gram[1:]) if len(gram) > 1 else 1 / (v + 1)
+        if not total[gram[:-1]]:
             return low
-        x = pairs[a, w]
-        return max(x - by_pair[min(x, 3)], 0) / heads[a] + taken[a] / heads[a] * low
+        x = a[len(gram)][gram]
+        return (max(x - by[len(gram)][min(x, 3)], 0) + taken[gram[:-1]] * low) / total[gram[:-1]]
 
     out = []
     for ts, h in zip(tokens, held):
         base = sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ts)
-        out.append((h, len(ts), sum(c[w] > 0 for w in ts), n, base, sum(math.log10(p(a, w)) for a, w in zip([0, *ts], ts))))
+        out.append((h, len(ts), sum(c[w] > 0 for w in ts), n, base, sum(math.log10(p(g)) for g in grams(ts))))
     return out
 
 

@@ -290,47 +290,45 @@ def test_bradley_terry_orders_pairs():
     np.testing.assert_allclose(found, truth, atol=0.2)
 
 
-def test_probabilities_add_up(spark):
-    docs = spark.createDataFrame([("the cat sat on the mat the cat",), ("a dog sat",), ("the dog",)], "text string")
-    model = kneser_ney.learn(docs, shards=2)
+@pytest.mark.parametrize("order", [1, 2, 3, 5])
+def test_probabilities_add_up(spark, order):
+    texts = ["the cat sat on the mat the cat", "a dog sat", "the dog", "the cat sat on a dog", None]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    model = kneser_ney.learn(docs, order, shards=2)
     words = ["the", "cat", "sat", "on", "mat", "a", "dog", "unknownword"]
-    for context in ("the", "cat", "unknownword"):
-        total = 0.0
-        for w in words:
-            (_, _, _, two), (_, _, _, one) = (kneser_ney.score_texts(model, [t]) for t in (f"{context} {w}", context))
-            ends = 10 ** (two[0] - one[0])  # p(w | context) p(end | w) / p(end | context)
-            total += ends * _end(model, context) / _end(model, w)
-        total += _end(model, context)
+    for context in ("", "the", "the cat", "the cat sat on", "mat a", "unknownword", "cat unknownword the", "cat unknownword"):
+        before = len(context.split())
+        total = 10 ** kneser_ney.token_scores(model, [context])[3][before]  # the end
+        total += sum(10 ** kneser_ney.token_scores(model, [f"{context} {w}"])[3][before] for w in words)
         assert total == pytest.approx(1, abs=1e-9)
 
 
-def _end(model, word: str) -> float:
-    """p(end | word), from texts that differ in their last token's context only."""
-    (_, _, _, twice), (_, _, _, once) = (kneser_ney.score_texts(model, [t]) for t in (f"{word} {word}", word))
-    start = _start(model, word)
-    return 10 ** (once[0]) / start
-
-
-def _start(model, word: str) -> float:
-    """p(word | start) by the model's own parts."""
-    hashes, _ = kneser_ney.token_hashes([word])
-    v = model.vocabulary
-    numbers, _ = kneser_ney._numbered(hashes[:1], v)
-    low_stats = kneser_ney._word_stats(model, numbers)[0] if numbers[0] >= 0 else np.zeros(1, np.int64)
-    low = kneser_ney._discount(low_stats, model.word_discounts)[0] / model.types + model.word_rest / (v.size + 1)
-    stats = kneser_ney._word_stats(model, np.array([v.size]))[1:, 0]
-    seen = 0
-    if numbers[0] >= 0:
-        key = kneser_ney._pair(np.array([v.size]), numbers)
-        shard = int(kneser_ney._key_shard(key, model.shards)[0])
-        for number, uri, size in model.bigrams:
-            if number == shard:
-                seen = kneser_ney._bigram_counts(uri, size, key)
-        seen = np.asarray(seen).reshape(-1)
-    else:
-        seen = np.zeros(1, np.int64)
-    taken = float(np.array(model.pair_discounts) @ stats)
-    return kneser_ney._discount(seen, model.pair_discounts)[0] / v.texts + taken / v.texts * low
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_orders_of_the_language_model(spark, order, monkeypatch):
+    """Against plain counting; portions, batches and shards are tiny."""
+    for limit, value in (("BATCH_TOKENS", 50), ("MERGE_ENTRIES", 20), ("SHARD_TOKENS", 300), ("SCORE_CHARS", 100)):
+        monkeypatch.setattr(kneser_ney, limit, value)
+    draw = np.random.default_rng(order)
+    texts = [" ".join(f"w{i}" for i in draw.zipf(1.4, draw.integers(0, 40)) % 60) for _ in range(150)]
+    source = [*enumerate([*texts, None, "", " \n", "W1 W2 " * 400, *texts[:20]])]
+    docs = spark.createDataFrame(source, "doc_id long, text string")
+    train = [t for i, t in source if brute.fold(i, 10) != 0]
+    model = kneser_ney.learn(spark.createDataFrame([(t,) for t in train], "text string"), order, shards=3)
+    assert model.shards == max(3, model.vocabulary.tokens // 300) and model.order == order
+    scored = kneser_ney.score_documents(docs, model, F.lit(False)).orderBy("doc_id").collect()
+    expected = brute.kneser_ney(source, order)
+    assert [(r.n_tokens, r.n_known, r.train_tokens) for r in scored] == [e[1:4] for e in expected]
+    np.testing.assert_allclose([(r.base_score, r.score) for r in scored], [e[4:] for e in expected], rtol=1e-9)
+
+
+def test_sorted_hash_arrays(tmp_path):
+    draw = np.random.default_rng(5)
+    hashes = np.unique(draw.integers(0, 1 << 64, 60_000, dtype=np.uint64))
+    values = np.stack([draw.integers(0, 4, len(hashes)), draw.zipf(1.3, len(hashes)) % (1 << 40)])
+    uri = kneser_ney.store_table(str(tmp_path), hashes, values)
+    asked = draw.permutation(np.concatenate([hashes[::3], draw.integers(0, 1 << 64, 20_000, dtype=np.uint64)]))
+    known = {h: v for h, v in zip(hashes.tolist(), values.T.tolist())}
+    assert kneser_ney.table_values(uri, asked).T.tolist() == [known.get(h, [0, 0]) for h in asked.tolist()]
 
 
 def test_a_repeated_doc_id_does_not_break_the_bound_of_the_sample(spark):
