@@ -209,7 +209,9 @@ def encode_documents(
         .withColumn("row", F.monotonically_increasing_id())
         .select("row", "doc_id", F.posexplode(cut("text")).alias("place", "part"))
     )
-    encoded = parts.repartition("row", "place").mapInPandas(
+    # A number keeps them apart: by bytes, which leaves have few of, tasks would be merged.
+    spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    encoded = parts.repartition(spread, "row", "place").mapInPandas(
         leaves, "row long, doc_id long, place int, part string, ids binary, ends binary, sizes binary"
     )
     return direct.unionByName(encoded.groupBy("row").applyInPandas(whole, SCHEMA))
