@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 
 
 _PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
+# Reports that a query keeps, and the seconds after which they are read again.
+_KEPT, _SECONDS = 1000, 1
 
 
 def file_stream(
@@ -46,11 +48,13 @@ def write_batches(
 ) -> int:
     """Hand every available micro-batch to ``write`` and stop.
 
-    Returns the number of rows that stateful operators dropped as too late.
+    Returns the number of rows that stateful operators dropped as too late. Reports of
+    batches are added up while the query runs, so a run may have any number of them.
     """
     conf = stream.sparkSession.conf
     kept = conf.get(_PROGRESS, None)
-    conf.set(_PROGRESS, "100000")  # reports of all batches of the run
+    conf.set(_PROGRESS, str(_KEPT))
+    late, last, ended = 0, ("", -1), False
     try:
         query = (
             stream.writeStream.foreachBatch(write)
@@ -59,11 +63,13 @@ def write_batches(
             .trigger(availableNow=True)
             .start()
         )
-        query.awaitTermination()
+        while not ended:
+            ended = query.awaitTermination(_SECONDS)
+            for progress in query.recentProgress:
+                key = (progress["timestamp"], progress["batchId"])
+                if key > last:
+                    late += sum(state["numRowsDroppedByWatermark"] for state in progress["stateOperators"])
+                    last = key
     finally:
         conf.unset(_PROGRESS) if kept is None else conf.set(_PROGRESS, kept)
-    return sum(
-        state["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for state in progress["stateOperators"]
-    )
+    return late
