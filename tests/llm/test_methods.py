@@ -331,6 +331,56 @@ def test_sorted_hash_arrays(tmp_path):
     assert kneser_ney.table_values(uri, asked).T.tolist() == [known.get(h, [0, 0]) for h in asked.tolist()]
 
 
+def test_pieces_between_tables_are_shuffled_and_not_staged_as_well(spark, monkeypatch):
+    staged, write = [], kneser_ney.stage
+    monkeypatch.setattr(kneser_ney, "stage", lambda df, label: staged.append(df.columns) or write(df, label))
+    model = kneser_ney.learn(spark.createDataFrame([("a b c a b",), ("b c",)], "text string"), shards=2)
+    assert model.order == 3 and [t.total for t in model.tables] == [7, 9, 9]
+    assert staged and not [c for columns in staged for c in columns if c in ("columns", "numbers")]
+
+
+def test_ngrams_of_a_batch_are_hashed_once(monkeypatch):
+    draw, hashed, gram_hashes = np.random.default_rng(2), [], kneser_ney.gram_hashes
+    chunks = [draw.integers(0, 9, (3, 1000), np.uint64) for _ in range(20)]
+    monkeypatch.setattr(kneser_ney, "gram_hashes", lambda grams: hashed.append(grams.shape[1]) or gram_hashes(grams))
+    assert len([*kneser_ney._counted(iter(chunks), 4)]) == 1
+    assert sum(hashed) == 20_000
+
+
+def test_repeated_ngrams_share_a_batch(monkeypatch):
+    """A batch is dealt once its distinct n-grams fill it, however often they occur."""
+    monkeypatch.setattr(kneser_ney, "BATCH_TOKENS", 100)
+    chunks = [np.arange(90, dtype=np.uint64).reshape(3, 30) for _ in range(50)]
+    (rows,) = kneser_ney._counted(iter(chunks), 2)
+    counts = np.concatenate([kneser_ney.unpacked(numbers[0]) for _, _, numbers in rows])
+    assert counts.tolist() == [50] * 30
+
+
+@pytest.mark.parametrize("keys", [[], [7], [5, 5, 5], [3, 2, 1, 0, 3], [(9 << 40) + i % 100 for i in range(1000, 0, -1)]])
+def test_groups_of_keys_that_differ_in_their_last_bits(keys):
+    keys = np.array(keys, np.uint64)
+    distinct, order, first = kneser_ney._grouped(keys)
+    assert order.tolist() == np.argsort(keys, kind="stable").tolist()
+    assert distinct.tolist() == sorted({*keys.tolist()}) == keys[order][first].tolist()
+    found, places = kneser_ney._distinct(keys)
+    assert found[places].tolist() == keys.tolist()
+
+
+@pytest.mark.parametrize("base, step", [(0, 1), ((1 << 64) - 3001, 3), (1 << 63, 1 << 20), (12345, 1 << 45)])
+def test_sorted_hash_arrays_over_any_span(tmp_path, base, step):
+    """Hashes next to each other, at both ends, and asked for outside the table."""
+    hashes = np.array([base + i * step for i in range(1000)], np.uint64)
+    uri = kneser_ney.store_table(str(tmp_path), hashes, np.arange(1, 1001)[None])
+    between = max(1, step // 2)
+    outside = (0, base - 1, base + between, base + 999 * step + between, (1 << 64) - 1)
+    outside = [h for h in outside if 0 <= h < 1 << 64]
+    asked = np.array([*hashes.tolist(), *outside], np.uint64)
+    known = {h: i for i, h in enumerate(hashes.tolist(), 1)}
+    assert kneser_ney.table_values(uri, asked)[0].tolist() == [known.get(h, 0) for h in asked.tolist()]
+    empty = kneser_ney.store_table(str(tmp_path), hashes[:0], np.zeros((1, 0), np.int64))
+    assert not kneser_ney.table_values(empty, asked).any()
+
+
 def test_a_repeated_doc_id_does_not_break_the_bound_of_the_sample(spark):
     """One labelled id on many rows of different texts."""
     docs = spark.range(900).select(
