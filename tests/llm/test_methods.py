@@ -366,6 +366,16 @@ def test_groups_of_keys_that_differ_in_their_last_bits(keys):
     assert found[places].tolist() == keys.tolist()
 
 
+def test_a_row_of_values_takes_about_a_byte(tmp_path):
+    draw = np.random.default_rng(3)
+    hashes = np.unique(draw.integers(0, 1 << 64, 50_000, dtype=np.uint64))
+    a = draw.zipf(2.2, len(hashes))
+    values = np.stack([a, np.where(a > 50, a, 0), a, a // 3, a // 5])
+    uri = kneser_ney.store_table(str(tmp_path), hashes, values)
+    assert kneser_ney.table_values(uri, hashes).tolist() == values.tolist()
+    assert len(kneser_ney.mapped_file(uri)) < 8 * len(hashes)
+
+
 @pytest.mark.parametrize("base, step", [(0, 1), ((1 << 64) - 3001, 3), (1 << 63, 1 << 20), (12345, 1 << 45)])
 def test_sorted_hash_arrays_over_any_span(tmp_path, base, step):
     """Hashes next to each other, at both ends, and asked for outside the table."""
